@@ -1,3 +1,8 @@
 """Imports every group of checks."""
 
-from auricle_checks import aggregate_checks, queue_checks  # noqa: F401
+from auricle_checks import (  # noqa: F401
+    aggregate_checks,
+    filter_checks,
+    queue_checks,
+    sync_checks,
+)

@@ -36,11 +36,13 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def _stored(self, name: str, derive: Callable[[], DataFrame]) -> DataFrame:
+    def _stored(
+        self, name: str, derive: Callable[[], DataFrame], order: str = "id"
+    ) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _WRITTEN:
             path = run_dir(self.spark, name)
-            write_table(derive(), path)
+            write_table(derive(), path, order=order)
             _WRITTEN[key] = path
         return read_table(self.spark, _WRITTEN[key], name)
 
@@ -147,11 +149,13 @@ class Tables:
 
     @cached_property
     def review_rows(self) -> DataFrame:
-        """The review `transcripts` table: metadata ids that were reviewed before.
+        """The review `transcripts` table: metadata ids that were reviewed before."""
+        return self._stored("transcripts", lambda: self.derived_review_rows, "meta_id")
 
-        One row per metadata id with a purchase on a low-quality labelled document, taken from
-        the lowest such document.
-        """
+    @cached_property
+    def derived_review_rows(self) -> DataFrame:
+        """One row per metadata id with a purchase on a low-quality labelled document, taken
+        from the lowest such document."""
         known = self._joined.filter(
             (F.col("event_type") == "purchase") & (F.col("quality") == 0)
         ).withColumn("number", F.expr("doc_id div 8"))
@@ -163,7 +167,6 @@ class Tables:
             F.dayofmonth("ts").alias("day"),
             F.col("text").alias("transcript"),
             F.col("ts").alias("created_at"),
-            F.lit(None).cast("string").alias("video_url"),
             (F.col("user_id") + 1).alias("creator_id"),
             F.col("score").cast("decimal(10,9)").alias("label_1_pred"),
             F.col("n_name").alias("country"),
@@ -174,10 +177,10 @@ class Tables:
 
     @cached_property
     def creators(self) -> DataFrame:
-        """Creators known before: the authors of purchase events."""
+        """Creators known before: the authors of large purchases."""
         return (
             self.raw("events")
-            .filter(F.col("event_type") == "purchase")
+            .filter((F.col("event_type") == "purchase") & (F.col("value") > 150))
             .groupBy("user_id")
             .agg(F.min("ts").alias("created_at"))
             .select(
@@ -272,7 +275,7 @@ review_rows AS (
 ),
 creators AS (
     SELECT user_id + 1 AS creator_id, 'u' || user_id AS author_uniqueid, min(ts) AS created_at
-    FROM events WHERE event_type = 'purchase' GROUP BY user_id
+    FROM events WHERE event_type = 'purchase' AND value > 150 GROUP BY user_id
 ),
 unified_files AS (
     SELECT * REPLACE (CASE WHEN status = 'flagged' AND synced_to_ra THEN 'synced'
