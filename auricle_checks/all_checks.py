@@ -3,6 +3,8 @@
 from auricle_checks import (  # noqa: F401
     aggregate_checks,
     filter_checks,
+    quality_checks,
+    scalar_checks,
     queue_checks,
     sync_checks,
 )
