@@ -5,6 +5,7 @@ from auricle_checks import (  # noqa: F401
     filter_checks,
     quality_checks,
     scalar_checks,
+    source_checks,
     queue_checks,
     sync_checks,
 )

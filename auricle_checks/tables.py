@@ -6,14 +6,19 @@ the derived flags below are column values, not samples.
 
 from __future__ import annotations
 
+import csv
+import io
+import tarfile
 from collections.abc import Callable
 from functools import cached_property
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auricle import clock
 from auricle.functions import scalars as S
+from auricle.plans.unpack import batch_members
 from auricle.session import run_dir
 from auricle.sources.tables import read_table, write_table
 
@@ -190,6 +195,76 @@ class Tables:
             )
         )
 
+    def written(self, name: str, derive: Callable[[], DataFrame]) -> DataFrame:
+        """A derived frame as a written table, once per session."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _WRITTEN:
+            path = run_dir(self.spark, name)
+            derive().write.parquet(path)
+            _WRITTEN[key] = path
+        return self.spark.read.parquet(_WRITTEN[key])
+
+    def path_of(self, name: str) -> str:
+        return _WRITTEN[(self.spark.sparkContext.applicationId, self.folder, name)]
+
+    @cached_property
+    def archives(self) -> DataFrame:
+        """Archives of up to 64 documents of one source: audio members hold the whole texts,
+        metadata members one row each. Shaped like a `binaryFile` frame."""
+
+        def pack(docs: pd.DataFrame) -> pd.DataFrame:
+            batch, kind = docs["batch_id"].iloc[0], docs["kind"].iloc[0]
+            packed = io.BytesIO()
+            with tarfile.open(fileobj=packed, mode={0: "w", 1: "w:gz", 2: "w:xz"}[kind]) as tar:
+                for doc in docs.sort_values("doc_id").itertuples():
+                    members = [(f"audio/{doc.name}", doc.text)]
+                    if doc.meta_id is not None:
+                        text = io.StringIO()
+                        out = csv.writer(text)
+                        out.writerow(["meta_id", "lang", "n_chars", "score", "note"])
+                        out.writerow([doc.meta_id, doc.lang, doc.n_chars, doc.score, 'a "b", c'])
+                        members.append((f"metadata/{doc.stem}.txt", text.getvalue()))
+                    for name, body in members:
+                        data = body.encode("utf-8")
+                        info = tarfile.TarInfo(name)
+                        info.size = len(data)
+                        tar.addfile(info, io.BytesIO(data))
+            content = packed.getvalue()
+            return pd.DataFrame(
+                {
+                    "path": [f"archives/{batch}.tar"],
+                    "length": [len(content)],
+                    "content": [content],
+                }
+            )
+
+        def derive() -> DataFrame:
+            block = F.expr("doc_id div 64")
+            docs = self._joined.select(
+                "doc_id",
+                "text",
+                "lang",
+                "n_chars",
+                "score",
+                "meta_id",
+                "stem",
+                F.concat_ws("-", "source", block).alias("batch_id"),
+                (block % 3).cast("int").alias("kind"),
+                F.concat(
+                    "stem", F.when(F.col("lang") == "de", ".MP3").otherwise(".mp3")
+                ).alias("name"),
+            )
+            return docs.groupBy("batch_id").applyInPandas(
+                pack, "path STRING, length BIGINT, content BINARY"
+            )
+
+        return self.written("archives", derive)
+
+    @cached_property
+    def members(self) -> DataFrame:
+        """Extracted members of the archives, metadata content kept."""
+        return self.written("members", lambda: batch_members(self.archives))
+
     @cached_property
     def unified_files(self) -> DataFrame:
         """The unified variant: flagged files are `classified`, or `synced` with a meta_id."""
@@ -289,6 +364,14 @@ segments AS (
            CASE WHEN turn % 4 <> 3 THEN (-(turn % 5))::DOUBLE END AS avg_logprob
     FROM conversations
 ),
+members AS (
+    SELECT d.*, d.source || '-' || (d.doc_id // 64) AS batch_id, (d.doc_id // 64) % 3 AS kind,
+           stem || CASE WHEN lang = 'de' THEN '.MP3' ELSE '.mp3' END AS name,
+           CASE WHEN meta_id IS NOT NULL THEN
+               '{"meta_id":"' || meta_id || '","lang":"' || lang || '","n_chars":' || n_chars
+               || ',"score":' || score || ',"note":"a \\"b\\", c"}' END AS metadata
+    FROM joined d
+),
 now_ AS (SELECT max(created_at) AS t FROM audio_files),
 day_files AS (
     SELECT * FROM audio_files WHERE created_at > (SELECT t FROM now_) - INTERVAL 24 HOURS
