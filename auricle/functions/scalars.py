@@ -222,15 +222,17 @@ def cells_json(cells: Column | str) -> Column:
 
 
 def render_prompt(template: Column | str, text: Column | str) -> Column:
-    """The text put into the template's slot; doubled braces of the template become single."""
-    parts = F.transform(
-        F.split(col(template), r"\{content_text\}"),
-        lambda p: F.replace(F.replace(p, F.lit("{{"), F.lit("{")), F.lit("}}"), F.lit("}")),
-    )
-    filled = F.transform(
-        F.slice(parts, F.lit(2), F.size(parts)), lambda p: F.concat(col(text), p)
-    )
-    return F.concat(F.element_at(parts, 1), F.array_join(filled, ""))
+    """The text put into the template's slot; doubled braces of the template become single.
+
+    Marks stand in for the braces and the slot, and the text goes in last, so nothing inside the
+    text is replaced.
+    """
+    marked = col(template)
+    for token, mark in (("{{", "\u0001"), ("}}", "\u0002"), ("{content_text}", "\u0003")):
+        marked = F.replace(marked, F.lit(token), F.lit(mark))
+    for mark, brace in (("\u0001", "{"), ("\u0002", "}")):
+        marked = F.replace(marked, F.lit(mark), F.lit(brace))
+    return F.replace(marked, F.lit("\u0003"), col(text))
 
 
 def first_digit(response: Column | str) -> Column:

@@ -12,8 +12,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def check(name: str, sql: str | None = None):
-    """Register `fn(tables) -> DataFrame`; `sql` may open with further CTEs (", x AS (…) SELECT")."""
+def check(name: str, sql: str | None = None, whole: bool = False):
+    """Register `fn(tables) -> DataFrame`.
+
+    `sql` follows the shared CTEs and may open with more of them (", x AS (…) SELECT"); with
+    `whole` it stands alone.
+    """
 
     def add(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
@@ -21,9 +25,8 @@ def check(name: str, sql: str | None = None):
         QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
         if sql is not None:
             body = sql.strip()
-            if not body.startswith(","):
-                body = "\n" + body
-            ORACLE[name] = f"WITH {PRELUDE.strip()}{body}"
+            joint = "" if body.startswith(",") else "\n"
+            ORACLE[name] = body if whole else f"WITH {PRELUDE.strip()}{joint}{body}"
         return fn
 
     return add

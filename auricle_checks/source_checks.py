@@ -13,9 +13,9 @@ from auricle_checks.registry import check
 
 # --- listings -------------------------------------------------------------------
 
-# Events play the objects of a bucket: errors left a lock file, purchases lie in scratch.
+# Events play the objects of a bucket: errors left a lock file, purchases lie in staging.
 OBJECTS = """, objects AS (
-    SELECT CASE event_type WHEN 'purchase' THEN 'scratch/' ELSE 'sounds/' END
+    SELECT CASE event_type WHEN 'purchase' THEN 'staging/' ELSE 'sounds/' END
            || 'u' || user_id || '/e' || event_id
            || CASE event_type WHEN 'error' THEN '.tar.lock' ELSE '.tar' END AS key,
            event_id AS length, ts AS modification_time
@@ -28,7 +28,7 @@ def event_objects(t):
     kind = F.col("event_type")
     return t.raw("events").select(
         F.concat(
-            F.when(kind == "purchase", "scratch/").otherwise("sounds/"),
+            F.when(kind == "purchase", "staging/").otherwise("sounds/"),
             F.lit("u"),
             "user_id",
             F.lit("/e"),
@@ -240,14 +240,12 @@ def _(t):
 
 @check(
     "SRC13_template_prompts",
-    """SELECT doc_id, sha256('POLICY' || chr(10) || text || chr(10) || 'ANSWER') AS digest
+    """SELECT doc_id, sha256('POLICY' || chr(10) || text || chr(10) || 'ANSWER' || chr(10)) AS digest
 FROM documents""",
 )
 def _(t):
     root = run_dir(t.spark, "template")
-    t.spark.sql("SELECT 'POLICY\\n{content_text}\\nANSWER' AS value").coalesce(1).write.option(
-        "lineSep", ""
-    ).text(root)
+    t.spark.sql("SELECT 'POLICY\\n{content_text}\\nANSWER' AS value").coalesce(1).write.text(root)
     template = objects.text_value(t.spark, root)
     prompt = S.render_prompt(template, "text").cast("binary")
     return t.raw("documents").select("doc_id", F.sha2(prompt, 256).alias("digest"))
