@@ -20,7 +20,13 @@ def at(moment: datetime) -> Column:
 
 
 def latest(df: DataFrame, column: str = "created_at") -> Column:
-    """`as_of` taken from the data: the newest value of a column, as a scalar subquery."""
+    """`as_of` taken from the data: the newest value of a column, as a scalar subquery.
+
+    In a date-partitioned table only the newest day is read for it.
+    """
+    if column == "created_at" and PARTITION_DATE in df.columns:
+        newest_day = df.agg(F.max(PARTITION_DATE)).scalar()
+        df = df.filter(F.col(PARTITION_DATE) == newest_day)
     return df.agg(F.max(column)).scalar()
 
 

@@ -174,26 +174,31 @@ def _digits(cell: Column) -> Column:
     return F.regexp_replace(cell, r"(?U)[\s\x1c-\x1f_]", "")
 
 
+def _has_digit(cell: Column) -> Column:
+    """A quick look that spares most cells the long patterns."""
+    return cell.rlike("[0-9]")
+
+
 def cell_kind(cell: Column | str) -> Column:
     """'int', 'float' or 'text' for a cell; integers beyond 64 bits stay text."""
     value = col(cell)
+    dotted = value.contains(".")
     return (
-        F.when(value.contains(".") & value.rlike(FLOAT_CELL), "float")
-        .when(
-            ~value.contains(".") & value.rlike(INT_CELL) & cell_int(value).isNotNull(), "int"
-        )
+        F.when(~_has_digit(value), "text")
+        .when(dotted & value.rlike(FLOAT_CELL), "float")
+        .when(~dotted & cell_int(value).isNotNull(), "int")
         .otherwise("text")
     )
 
 
 def cell_int(cell: Column | str) -> Column:
     value = col(cell)
-    return F.when(value.rlike(INT_CELL), _digits(value)).try_cast("bigint")
+    return F.when(_has_digit(value) & value.rlike(INT_CELL), _digits(value)).try_cast("bigint")
 
 
 def cell_float(cell: Column | str) -> Column:
     value = col(cell)
-    return F.when(value.rlike(FLOAT_CELL), _digits(value)).try_cast("double")
+    return F.when(_has_digit(value) & value.rlike(FLOAT_CELL), _digits(value)).try_cast("double")
 
 
 def cell_json(cell: Column) -> Column:

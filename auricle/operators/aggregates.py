@@ -292,28 +292,30 @@ def recent_batches(
 def table_totals(
     files: DataFrame, transcripts: DataFrame, classifications: DataFrame
 ) -> DataFrame:
-    """One row of four totals; each side is a one-row aggregate before the cross join."""
-    return (
-        files.agg(F.count("*").alias("total_files"))
-        .crossJoin(transcripts.agg(F.count("*").alias("total_transcripts")))
-        .crossJoin(
-            classifications.agg(
-                F.count("*").alias("total_classifications"),
-                F.count_if("flagged").alias("total_flagged"),
-            )
-        )
+    """One row of four totals; the other tables come in as scalar subqueries."""
+    return classifications.agg(
+        F.count("*").alias("total_classifications"), F.count_if("flagged").alias("total_flagged")
+    ).select(
+        row_count(files).alias("total_files"),
+        row_count(transcripts).alias("total_transcripts"),
+        "total_classifications",
+        "total_flagged",
     )
 
 
+def row_count(df: DataFrame) -> Column:
+    """The number of rows as a scalar subquery."""
+    return df.agg(F.count("*")).scalar()
+
+
 def review_target(queue: DataFrame, ready: DataFrame, target: int = 200) -> DataFrame:
     """Queue size against the target, and what waits to be synced."""
     current = queue.agg(F.count("*").alias("current_count"))
-    pending = ready.agg(F.count("*").alias("pipeline_pending"))
-    return current.crossJoin(pending).select(
+    return current.select(
         "current_count",
         F.lit(target).alias("target"),
         (F.col("current_count") >= target).alias("target_met"),
-        "pipeline_pending",
+        row_count(ready).alias("pipeline_pending"),
     )
 
 

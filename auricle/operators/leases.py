@@ -19,9 +19,13 @@ LEASE_MICROS = 3600 * 1_000_000
 WALK_LIMIT = 100_000
 
 
-def accepted_attempts(attempts: DataFrame, walk_limit: int = WALK_LIMIT) -> DataFrame:
+def accepted_attempts(
+    attempts: DataFrame, walk_limit: int = WALK_LIMIT, held: DataFrame | None = None
+) -> DataFrame:
     """Accepted rows of (filename, seq, at, released), in order of (at, seq) per file.
 
+    `held` (filename, free_at) gives leases that are in force at the start, one per file.
+
     Whether an attempt is accepted depends on the one accepted before it, so a file is walked in
     order. Files of bounded size are walked in a grouped task. Files with more attempts are
     walked by rounds: each finds the next accepted attempt of all of them by a min aggregate,
@@ -30,19 +34,39 @@ def accepted_attempts(attempts: DataFrame, walk_limit: int = WALK_LIMIT) -> Data
     rows = attempts.select(
         "filename", "seq", F.unix_micros(F.col("at").cast("timestamp")).alias("at"), "released"
     )
+    if held is None:
+        rows = rows.withColumn("start", F.lit(None).cast("long"))
+    else:
+        leased = held.select(
+            "filename", F.unix_micros(F.col("free_at").cast("timestamp")).alias("start")
+        )
+        rows = rows.join(leased, "filename", "left")
     sizes = rows.groupBy("filename").agg(F.count("*").alias("n"))
     large = durable(sizes.filter(F.col("n") > walk_limit).select("filename"))
     small = rows.join(large, "filename", "left_anti")
-    parts = [small.groupBy("filename").applyInPandas(_walk, rows.schema)]
+    parts = [small.groupBy("filename").applyInPandas(_walk, rows.schema).drop("start")]
     if not large.isEmpty():
         parts += _rounds(rows.join(large, "filename", "left_semi"))
     accepted = reduce(DataFrame.unionByName, parts)
-    return accepted.withColumn("at", F.timestamp_micros("at").cast("timestamp_ntz"))
+    return accepted.select(
+        "filename", "seq", F.timestamp_micros("at").cast("timestamp_ntz").alias("at"), "released"
+    )
+
+
+def leases_after(accepted: DataFrame) -> DataFrame:
+    """(filename, free_at) from accepted attempts: the last one decides, a release frees."""
+    last = accepted.groupBy("filename").agg(
+        F.max_by(F.struct("at", "released"), F.struct("at", "seq")).alias("a")
+    )
+    return last.filter(~F.col("a.released")).select(
+        "filename", (F.col("a.at") + F.expr("INTERVAL 60 MINUTES")).alias("free_at")
+    )
 
 
 def _walk(attempts: pd.DataFrame) -> pd.DataFrame:
     ordered = attempts.sort_values(["at", "seq"])
-    free_at, keep = None, []
+    start = ordered["start"].iloc[0]
+    free_at, keep = None if pd.isna(start) else int(start), []
     for at, released in zip(ordered["at"], ordered["released"]):
         accepted = free_at is None or at >= free_at
         keep.append(accepted)
@@ -56,8 +80,9 @@ def _rounds(rows: DataFrame) -> list[DataFrame]:
     found = []
     state = None
     while True:
-        open_rows = rows
-        if state is not None:
+        if state is None:
+            open_rows = rows.filter(F.col("start").isNull() | (F.col("at") >= F.col("start")))
+        else:
             later = (F.col("at") > F.col("last_at")) | (
                 (F.col("at") == F.col("last_at")) & (F.col("seq") > F.col("last_seq"))
             )

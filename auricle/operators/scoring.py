@@ -111,14 +111,17 @@ def score_rows(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _loaded(model_key, load)
         for pdf in frames:
+            done = []
             if needs is not None:
                 idle = pdf[needs].isna()
                 if idle.any():
-                    yield _unscored(pdf[idle], names)
+                    done.append(_unscored(pdf[idle], names))
                 pdf = pdf[~idle]
             for start in range(0, len(pdf), batch_rows):
                 part = pdf.iloc[start : start + batch_rows].reset_index(drop=True)
-                yield _score_slice(model, part, names)
+                done.append(_score_slice(model, part, names))
+            if done:
+                yield pd.concat(done, ignore_index=True)
 
     return df.mapInPandas(run, output)
 

@@ -119,25 +119,13 @@ def health_metrics(
         files, transcripts, classifications, as_of, ordered=False
     ).agg(F.count("*").alias("review_queue"))
     used = aggregates.scratch_usage(scratch, as_of)
-    single = day.crossJoin(flagged).crossJoin(queue).crossJoin(used)
-    names = [
-        "processed",
-        "flagged",
-        "failed",
-        "review_queue",
-        "total_bytes",
-        "directories",
-        "old_directories",
-    ]
-    unpivoted = single.unpivot([], names, "metric", "value").withColumn(
-        "value", F.col("value").cast("long")
-    )
-    return unpivoted.unionByName(
-        depths.select(
-            F.concat(F.lit("queue:"), "queue").alias("metric"),
-            F.col("depth").cast("long").alias("value"),
-        )
+    waiting = depths.select(
+        F.concat(F.lit("queue:"), "queue").alias("metric"),
+        F.col("depth").cast("long").alias("value"),
     )
+    for single in (day, flagged, queue, used):
+        waiting = waiting.unionByName(single.unpivot([], single.columns, "metric", "value"))
+    return waiting
 
 
 def health_alerts(metrics: DataFrame, as_of: Column) -> DataFrame:

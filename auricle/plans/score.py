@@ -20,13 +20,24 @@ SEGMENT_TYPE = "segments ARRAY<STRUCT<text: STRING, avg_logprob: DOUBLE>>, langu
 RESPONSE_TYPE = "response STRING"
 
 
-def score_jobs(jobs: DataFrame, transcriber, classifier, template: Column) -> DataFrame:
+def score_jobs(
+    jobs: DataFrame,
+    transcriber,
+    classifier,
+    template: Column,
+    partitions: int | None = None,
+) -> DataFrame:
     """One row per job: text, language, confidence, verdict, `success` and `error`.
 
+    Job rows are small and the models slow, so the jobs are spread evenly by their path over
+    `partitions` tasks (default: four per core) before anything is scored.
+
     `transcriber` and `classifier` are (key, load) pairs for `scoring.score_rows`. The
     classifier sees the rendered prompt; blank texts are not sent to it.
     """
-    heard = scoring.score_rows(jobs, transcriber[1], SEGMENT_TYPE, transcriber[0])
+    width = partitions or 4 * jobs.sparkSession.sparkContext.defaultParallelism
+    spread = jobs.repartition(width, "opus_path")
+    heard = scoring.score_rows(spread, transcriber[1], SEGMENT_TYPE, transcriber[0])
     texts = (
         heard.withColumns(
             {

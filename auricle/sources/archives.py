@@ -57,20 +57,30 @@ def _plain_heads(heads: pd.Series) -> pd.Series:
     return heads.map(lambda data: None if data is None else _plain_head(bytes(data)))
 
 
+def _is_tar_head(head: bytes) -> bool:
+    """Is the block a tar header by its checksum (tar without the later mark)?"""
+    try:
+        tarfile.TarInfo.frombuf(head[:HEADER_BYTES], "utf-8", "surrogateescape")
+        return True
+    except tarfile.HeaderError:
+        return False
+
+
 @F.pandas_udf(T.BooleanType())
 def _old_tar(heads: pd.Series) -> pd.Series:
-    """Is the block a tar header by its checksum (tar without the later mark)?"""
+    return heads.map(lambda data: data is not None and _is_tar_head(bytes(data)))
 
-    def check(data):
-        if data is None or len(data) < HEADER_BYTES:
-            return False
-        try:
-            tarfile.TarInfo.frombuf(bytes(data), "utf-8", "surrogateescape")
-            return True
-        except tarfile.HeaderError:
-            return False
 
-    return heads.map(check)
+def _kind(content: bytes) -> str:
+    """The archive type where the whole content is at hand; agrees with `with_archive_type`."""
+    mark = bytes.fromhex(TAR_MAGIC)
+    end = TAR_OFFSET + len(mark)
+    for magic, plain in ((GZIP_MAGIC, "gzip"), (XZ_MAGIC, "xz"), (LZMA_MAGIC, "xz")):
+        if content.startswith(bytes.fromhex(magic)):
+            packed = {"gzip": "tar.gz", "xz": "tar.xz"}[plain]
+            return packed if _plain_head(content)[TAR_OFFSET:end] == mark else plain
+    tar = content[TAR_OFFSET:end] == mark or _is_tar_head(content)
+    return "tar" if tar else "unknown"
 
 
 def with_archive_type(archives: DataFrame) -> DataFrame:
@@ -116,8 +126,9 @@ def _open_tar(content: bytes, kind: str) -> tarfile.TarFile:
     raise failure
 
 
-def _members(path: str, content: bytes, kind: str, suffixes: tuple[str, ...] | None):
+def _members(path: str, content: bytes, suffixes: tuple[str, ...] | None):
     """Rows of one archive; a problem gives a last row with the error."""
+    kind = _kind(content)
     if kind == "unknown":
         yield (path, None, None, None, None, None, "unknown archive type")
         return
@@ -128,7 +139,7 @@ def _members(path: str, content: bytes, kind: str, suffixes: tuple[str, ...] | N
             last = {m.name: i for i, m in enumerate(entries)}
             folder = any(n.removeprefix("./").startswith("metadata/") for n in last)
             for i, member in enumerate(entries):
-                safe = tarfile.data_filter(member, "/")
+                safe = tarfile.data_filter(member, "/unpacked")
                 if safe is None or member.isdir() or last[member.name] != i:
                     continue
                 name = safe.name.removeprefix("./")
@@ -157,8 +168,8 @@ def read_members(archives: DataFrame, content_suffixes: list[str] | None = None)
 
         for pdf in frames:
             rows, held = [], 0
-            for path, content, kind in zip(pdf["path"], pdf["content"], pdf["archive_type"]):
-                for row in _members(path, bytes(content), kind, suffixes):
+            for path, content in zip(pdf["path"], pdf["content"]):
+                for row in _members(path, bytes(content), suffixes):
                     rows.append(row)
                     held += len(row[4] or b"") + 200
                     if held >= EMIT_BYTES:
@@ -167,8 +178,7 @@ def read_members(archives: DataFrame, content_suffixes: list[str] | None = None)
             if rows:
                 yield frame(rows)
 
-    typed = archives if "archive_type" in archives.columns else with_archive_type(archives)
-    return typed.select("path", "content", "archive_type").mapInPandas(extract, MEMBER_SCHEMA)
+    return archives.select("path", "content").mapInPandas(extract, MEMBER_SCHEMA)
 
 
 def audio_stems(archives: DataFrame) -> DataFrame:

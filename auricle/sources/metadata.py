@@ -144,9 +144,8 @@ def parse_txt_files(files: DataFrame) -> DataFrame:
             keep = [r is not None for r in records]
             found = [r for r in records if r is not None]
             out = pdf.loc[keep, names].copy()
-            out["fields"] = [r[0] for r in found]
-            out["cells"] = [r[1] for r in found]
-            out["surplus"] = [r[2] for r in found]
+            for i, column in enumerate(("fields", "cells", "surplus")):
+                out[column] = pd.Series([r[i] for r in found], index=out.index, dtype=object)
             yield out
 
     parsed = files.mapInPandas(

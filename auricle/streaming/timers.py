@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auricle.operators import changes
+from auricle.operators import changes, leases
 from auricle.plans import sync
 from auricle.sources import objects
 from auricle.streaming.sinks import write_epoch
@@ -90,3 +90,23 @@ def poll_tick(
         write_epoch(ready, out, epoch)
 
     return each
+
+
+def lease_batches(spark: SparkSession, out: str) -> Callable[[DataFrame, int], None]:
+    """Accept or refuse the attempts (filename, seq, at, released) of each micro-batch exactly.
+
+    Leases in force come from the attempts accepted in earlier epochs; only those of the hour
+    before the micro-batch can matter, so no more is read.
+    """
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        before = _written(spark, out, "epoch", epoch)
+        held = None
+        if before is not None:
+            begin = batch.agg(F.min("at")).scalar() - F.expr("INTERVAL 60 MINUTES")
+            held = leases.leases_after(before.filter(F.col("at") >= begin))
+        write_epoch(leases.accepted_attempts(batch, held=held), out, epoch)
+        batch.unpersist()
+
+    return each

@@ -110,6 +110,15 @@ def _attempt_stream(t):
     )
 
 
+def _ticks(t):
+    """A stream of two micro-batches that only sets the pace."""
+    path = run_dir(t.spark, "ticks")
+    t.raw("nation").select("n_nationkey").repartition(2).write.parquet(path)
+    return (
+        t.spark.readStream.schema("n_nationkey INT").option("maxFilesPerTrigger", 1).parquet(path)
+    )
+
+
 @check(
     "ST3_batch_progress",
     PROGRESS
@@ -183,6 +192,19 @@ def _(t):
     return leases.accepted_attempts(_lease_attempts(t)).select("filename", "seq")
 
 
+@check("ST5_lease_stream", LEASES, whole=True)
+def _(t):
+    out = run_dir(t.spark, "lease-stream")
+    _lease_attempts(t).write.parquet(f"{out}/attempts")
+    stream = t.spark.readStream.schema(
+        "filename STRING, seq BIGINT, at TIMESTAMP_NTZ, released BOOLEAN"
+    ).parquet(f"{out}/attempts")
+    sinks.run_to_end(stream, timers.lease_batches(t.spark, f"{out}/rows"), f"{out}/checkpoint")
+    return sinks.read_epochs(t.spark, f"{out}/rows", "filename STRING, seq BIGINT").select(
+        "filename", "seq"
+    )
+
+
 @check("ST5_first_attempt_stream", "SELECT DISTINCT 'u' || user_id AS filename FROM events")
 def _(t):
     out = run_dir(t.spark, "leases")
@@ -207,7 +229,7 @@ def _(t):
         return t.audio_files, t.transcripts, t.classifications, t.review_rows, t.creators
 
     each = timers.sync_tick(t.spark, tables, lambda: t.as_of, out)
-    sinks.run_to_end(_attempt_stream(t), each, f"{out}-checkpoint")
+    sinks.run_to_end(_ticks(t), each, f"{out}-checkpoint")
     runs = t.spark.read.parquet(f"{out}/sync_runs")
     return runs.agg(*[F.sum(c).alias(c) for c in ("synced_count", "skipped_existing", "errors")])
 
@@ -237,7 +259,7 @@ def _(t):
     each = timers.poll_tick(
         t.spark, t.path_of("audio_files"), f"{out}/files", lambda: clock.at(later)
     )
-    sinks.run_to_end(_attempt_stream(t), each, f"{out}/checkpoint")
+    sinks.run_to_end(_ticks(t), each, f"{out}/checkpoint")
     files = sinks.read_epochs(t.spark, f"{out}/files", "key STRING")
     names = files.filter(F.col("key").endswith(".parquet"))
     return names.select(F.element_at(F.split("key", "/"), 1).alias("folder")).distinct()
