@@ -19,6 +19,11 @@ def at(moment: datetime) -> Column:
     return F.lit(moment.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def now() -> Column:
+    """`as_of` at the start of the query, in the session's zone (UTC)."""
+    return F.localtimestamp()
+
+
 def latest(df: DataFrame, column: str = "created_at") -> Column:
     """`as_of` taken from the data: the newest value of a column, as a scalar subquery.
 

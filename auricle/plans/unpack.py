@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from auricle.functions import scalars as S
 from auricle.operators import aggregates, joins, ranking
+from auricle.session import durable
 from auricle.sources import archives as tar
 from auricle.sources import jobs as messages
 from auricle.sources import metadata as meta
@@ -89,8 +90,9 @@ def unpack(
             F.concat(F.lit(f"{scratch}/"), "batch_id", F.lit("/"), "stem", F.lit(".opus")),
         )
     )
-    metadata = batch_metadata(members, metadata_format)
-    stats = aggregates.unpack_stats(results, metadata)
+    # Several outputs read the parsed metadata and the batch counts, so both are kept.
+    metadata = durable(batch_metadata(members, metadata_format))
+    stats = durable(aggregates.unpack_stats(results, metadata))
     state = (
         jobs.select("batch_id", "s3_key", "value")
         .join(present, "batch_id", "left")

@@ -10,4 +10,5 @@ from auricle_checks import (  # noqa: F401
     stream_checks,
     queue_checks,
     sync_checks,
+    view_checks,
 )
