@@ -17,9 +17,9 @@ from auricle_checks.sync_checks import SYNC_SUMMARY
 
 
 def _message_files(t):
-    """The messages of the source checks, written as four files."""
+    """The messages of the source checks, written as two files."""
     path = run_dir(t.spark, "messages")
-    source_checks.messages(t).repartition(4).write.parquet(path)
+    source_checks.messages(t).repartition(2).write.parquet(path)
     return path
 
 
@@ -102,7 +102,7 @@ def _totals(t):
 
 def _attempt_stream(t):
     path = run_dir(t.spark, "attempts")
-    _attempts(t).repartition(4).write.parquet(path)
+    _attempts(t).repartition(2).write.parquet(path)
     return (
         t.spark.readStream.schema("batch_id STRING, created_at TIMESTAMP_NTZ")
         .option("maxFilesPerTrigger", 1)
