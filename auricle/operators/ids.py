@@ -10,15 +10,18 @@ from auricle.session import durable
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
-def assign_ids(rows: DataFrame, order: list[str], start: Column | int = 0) -> DataFrame:
+def assign_ids(
+    rows: DataFrame, order: list[str], start: Column | int = 0, partitions: int | None = None
+) -> DataFrame:
     """Ids start+1, start+2, … in the order of unique columns.
 
     Rows are range-partitioned and sorted, and each is tagged with its partition and position.
     The tagged rows are checkpointed, because a recomputed partition could differ. The only
     global step runs over one row per partition.
     """
+    width = [partitions] if partitions else []
     tagged = durable(
-        rows.repartitionByRange(*order)
+        rows.repartitionByRange(*width, *order)
         .sortWithinPartitions(*order)
         .withColumn("_tag", F.monotonically_increasing_id())
     )

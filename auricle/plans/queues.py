@@ -8,28 +8,34 @@ from pyspark.sql import functions as F
 from auricle import clock
 from auricle.functions import scalars as S
 from auricle.operators import filters
+from auricle.session import staged
 
 # A limited result of at most this many rows may be broadcast to its wide columns.
 BROADCAST_ROWS = 10_000
 
 
 def _flagged_items(
-    files: DataFrame, transcripts: DataFrame, classifications: DataFrame
+    files: DataFrame, transcripts: DataFrame, classifications: DataFrame, stage: bool
 ) -> DataFrame:
-    """files ⋈ transcripts ⋈ flagged classifications. The flagged side is the most selective,
-    so it is joined to the files before the transcripts."""
+    """files ⋈ transcripts ⋈ flagged classifications.
+
+    The flagged side is the most selective, so it is joined to the files first. With `stage` that
+    result is written, and its real size decides the join with the transcripts: a small one is
+    broadcast and the transcripts stay where they are; a large one is joined by shuffle.
+    """
     flags = filters.flagged_only(classifications).select(
         F.col("id").alias("classification_id"),
         F.col("audio_file_id").alias("flag_of"),
         "flag_score",
         "flag_category",
     )
-    texts = transcripts.withColumnsRenamed(
+    texts = transcripts.drop(clock.PARTITION_DATE).withColumnsRenamed(
         {"id": "transcript_id", "audio_file_id": "text_of", "created_at": "transcribed_at"}
     )
-    return files.join(flags, F.col("id") == F.col("flag_of")).join(
-        texts, F.col("id") == F.col("text_of")
-    )
+    hits = files.join(flags, F.col("id") == F.col("flag_of"))
+    if stage:
+        hits = staged(hits)
+    return hits.join(texts, F.col("id") == F.col("text_of"))
 
 
 def flagged_queue(
@@ -38,10 +44,21 @@ def flagged_queue(
     classifications: DataFrame,
     as_of: Column,
     ordered: bool = True,
+    stage: bool = False,
 ) -> DataFrame:
     """Flagged files of the last 24 hours, best score first."""
-    fresh = filters.with_status(clock.recent(files, as_of), "flagged")
-    queue = _flagged_items(fresh, transcripts, classifications).select(
+    fresh = filters.with_status(clock.recent(files, as_of), "flagged").select(
+        "id",
+        "original_filename",
+        "opus_path",
+        "s3_opus_path",
+        "parquet_lang",
+        "parquet_country",
+        "parquet_metadata",
+        "synced_to_ra",
+        "created_at",
+    )
+    queue = _flagged_items(fresh, transcripts, classifications, stage).select(
         "id",
         "original_filename",
         "opus_path",
@@ -75,7 +92,7 @@ def pending_flagged(
         "id", "original_filename", "opus_path", "created_at"
     )
     top = (
-        _flagged_items(fresh, transcripts.select("id", "audio_file_id"), classifications)
+        _flagged_items(fresh, transcripts.select("id", "audio_file_id"), classifications, True)
         .orderBy(F.desc_nulls_first("flag_score"), "id", "transcript_id", "classification_id")
         .limit(limit)
     )
@@ -99,12 +116,14 @@ def with_text(top: DataFrame, transcripts: DataFrame, limit: int) -> DataFrame:
 
 
 def sync_candidates(
-    files: DataFrame, transcripts: DataFrame, classifications: DataFrame
+    files: DataFrame, transcripts: DataFrame, classifications: DataFrame, stage: bool = False
 ) -> DataFrame:
     """Flagged, unsynced files that carry a metadata id."""
-    fresh = files.filter(~F.col("synced_to_ra"))
+    fresh = files.filter(~F.col("synced_to_ra")).select(
+        "id", "parquet_metadata", "parquet_country", "parquet_lang", "created_at"
+    )
     items = _flagged_items(
-        filters.with_metadata_key(fresh, "meta_id"), transcripts, classifications
+        filters.with_metadata_key(fresh, "meta_id"), transcripts, classifications, stage
     )
     return items.select(
         F.col("id").alias("audio_file_id"),
@@ -170,10 +189,14 @@ def review_queue(
 
 
 def ready_for_sync(
-    files: DataFrame, transcripts: DataFrame, classifications: DataFrame
+    files: DataFrame, transcripts: DataFrame, classifications: DataFrame, stage: bool = False
 ) -> DataFrame:
     """Unified variant: classified, flagged and not yet synced."""
-    waiting = filters.with_status(files, "classified").filter(F.col("meta_id").isNull())
+    waiting = (
+        filters.with_status(files, "classified")
+        .filter(F.col("meta_id").isNull())
+        .select("id", "original_filename", "opus_path", "created_at")
+    )
     columns = [
         F.col("id").alias("audio_file_id"),
         "original_filename",
@@ -187,7 +210,7 @@ def ready_for_sync(
         "flag_category",
     ]
     return (
-        _flagged_items(waiting, transcripts, classifications)
+        _flagged_items(waiting, transcripts, classifications, stage)
         .select(*columns)
         .orderBy(F.desc_nulls_first("flag_score"), "audio_file_id")
     )

@@ -88,6 +88,11 @@ def read_scored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).parquet(path)
 
 
+def write_payloads(payloads: DataFrame, path: str) -> None:
+    """Store processed audio (date, key, content) under one folder per date."""
+    payloads.write.mode("append").partitionBy("date").parquet(path)
+
+
 @dataclass(frozen=True)
 class ResultTables:
     files: DataFrame

@@ -64,7 +64,7 @@ def plan_sync(
     limit: int = 100,
 ) -> SyncPlan:
     narrow = queues.sync_candidates(
-        files, transcripts.select("id", "audio_file_id"), classifications
+        files, transcripts.select("id", "audio_file_id"), classifications, stage=True
     )
     top = (
         narrow.filter(F.col("label_1_pred") >= threshold)
@@ -190,7 +190,7 @@ def plan_sync_by_name(
 ) -> NameSyncPlan:
     """Every taken item counts, also when its review row exists. A review id that would be given
     to two files breaks the unique key of the files and fails the whole run."""
-    ready = queues.ready_for_sync(files, transcripts, classifications)
+    ready = queues.ready_for_sync(files, transcripts, classifications, stage=True)
     taken = durable(
         ready.limit(limit)
         .withColumn("meta_id", S.strip_extension("original_filename"))

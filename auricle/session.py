@@ -53,6 +53,16 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    Spark then knows its real size, and decides by that whether to broadcast it.
+    """
+    path = run_dir(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint, so lost executors cannot change the rows."""
     shared_dir(df.sparkSession)

@@ -25,6 +25,11 @@ def message_stream(
     return reader.load(path)
 
 
+def write_messages(messages: DataFrame, path: str) -> None:
+    """Append messages to a queue folder, one JSON text per line."""
+    messages.select("value").write.mode("append").text(path)
+
+
 def parse_jobs(messages: DataFrame, schema: str) -> DataFrame:
     """`value`, the job fields, and `is_json`: is the message a JSON object?"""
     row = F.from_json(

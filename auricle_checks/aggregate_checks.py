@@ -49,7 +49,7 @@ READY = """
     WHERE u.status = 'classified' AND u.meta_id IS NULL AND c.flagged
 """
 DAILY = """
-SELECT created_at::DATE AS date, status, count(*) AS count FROM audio_files
+SELECT created_at::DATE::VARCHAR AS date, status, count(*) AS count FROM audio_files
 WHERE created_at > (SELECT t FROM now_) - INTERVAL 7 DAYS GROUP BY ALL
 """
 TOTALS = """
@@ -61,6 +61,10 @@ FROM day_files
 """
 
 
+def _dated(df):
+    return df.withColumn("date", F.col("date").cast("string"))
+
+
 def candidates(t):
     narrow = t.transcripts.select("id", "audio_file_id")
     return queues.sync_candidates(t.audio_files, narrow, t.classifications)
@@ -73,13 +77,13 @@ def _(t):
 
 @check("A2_daily_status_counts", DAILY)
 def _(t):
-    return A.daily_status_counts(t.audio_files, t.as_of)
+    return _dated(A.daily_status_counts(t.audio_files, t.as_of))
 
 
 @check(
     "A3_daily_pivot",
     """
-SELECT created_at::DATE AS date, count(*) AS total_files,
+SELECT created_at::DATE::VARCHAR AS date, count(*) AS total_files,
        count(*) FILTER (status = 'pending') AS pending,
        count(*) FILTER (status = 'transcribed') AS transcribed,
        count(*) FILTER (status = 'classified') AS classified,
@@ -89,7 +93,7 @@ FROM unified_files WHERE created_at > (SELECT t FROM now_) - INTERVAL 7 DAYS GRO
 """,
 )
 def _(t):
-    return A.daily_pivot(t.unified_files, t.as_of)
+    return _dated(A.daily_pivot(t.unified_files, t.as_of))
 
 
 @check("A4_status_counts_24h", "SELECT status, count(*) AS count FROM day_files GROUP BY status")

@@ -343,7 +343,7 @@ def _(t):
     return joins.object_summary(joins.expected_objects(t.audio_files, listing(t)))
 
 
-# A manifest in which pages play the archives: their sizes differ by stage for some kinds.
+# A manifest in which documents play the archives: for some languages a stage changes the size.
 MANIFEST = """, manifest AS (
     SELECT d.doc_id, d.n_chars AS source_size,
            CASE WHEN d.lang = 'de' THEN length(d.text) + 1 ELSE length(d.text) END AS staged_size,
@@ -488,9 +488,9 @@ def _(t):
 
 @check(
     "T6_multi_key_order",
-    """SELECT created_at::DATE AS date, status, count(*) AS count,
+    """SELECT created_at::DATE::VARCHAR AS date, status, count(*) AS count,
        row_number() OVER (ORDER BY created_at::DATE DESC, status) AS position
-FROM audio_files GROUP BY 1, 2""",
+FROM audio_files GROUP BY created_at::DATE, status""",
 )
 def _(t):
     from pyspark.sql import Window
@@ -500,7 +500,8 @@ def _(t):
     # One row per day and status reaches the window.
     rows = daily_status_counts(t.audio_files, t.as_of)
     order = Window.orderBy(F.desc_nulls_first("date"), F.asc_nulls_last("status"))
-    return rows.withColumn("position", F.row_number().over(order).cast("long"))
+    placed = rows.withColumn("position", F.row_number().over(order).cast("long"))
+    return placed.withColumn("date", F.col("date").cast("string"))
 
 
 # --- sets -----------------------------------------------------------------------

@@ -108,7 +108,7 @@ def _(t):
     return Q.check_table(t.review_rows, "transcripts")
 
 
-# Parents to delete: the files of one batch; the creators known from small ids of purchases.
+# Parents to delete: all flagged files, and all known creators.
 @check(
     "DQ8_cascade",
     """SELECT id, audio_file_id, language FROM pipeline_transcripts
@@ -201,7 +201,7 @@ def _(t):
     return rows.select("id", "audio_file_id", "flagged", "flag_score")
 
 
-# Every event is a status change of the file user_id + 1 … so hot files get many changes.
+# Every event is a status change of the file numbered like its user, so files get many changes.
 @check(
     "SNK4_status_updates",
     """SELECT f.id, coalesce(e.event_type, f.status) AS status,

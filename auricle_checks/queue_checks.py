@@ -28,12 +28,16 @@ ORDER BY c.flag_score DESC, f.id LIMIT 100
 
 @check("Q1_flagged_queue", FLAGGED_QUEUE)
 def _(t):
-    return queues.flagged_queue(t.audio_files, t.transcripts, t.classifications, t.as_of)
+    return queues.flagged_queue(
+        t.audio_files, t.transcripts, t.classifications, t.as_of, stage=True
+    )
 
 
 @check("Q2_sync_candidates", CANDIDATES + "SELECT * FROM candidates")
 def _(t):
-    found = queues.sync_candidates(t.audio_files, t.transcripts, t.classifications)
+    found = queues.sync_candidates(
+        t.audio_files, t.transcripts, t.classifications, stage=True
+    )
     return found.select(*queues.SYNC_CANDIDATE_COLUMNS)
 
 
@@ -45,7 +49,9 @@ def _(t):
 
 @check("Q4_ready_for_sync", READY)
 def _(t):
-    return queues.ready_for_sync(t.unified_files, t.transcripts, t.classifications)
+    return queues.ready_for_sync(
+        t.unified_files, t.transcripts, t.classifications, stage=True
+    )
 
 
 @check("Q5_pending_flagged", PENDING)

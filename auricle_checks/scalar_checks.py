@@ -55,9 +55,9 @@ def _(t):
     return t.audio_files.select("id", row.alias("r")).select("id", "r.*")
 
 
-@check("SC5_day", "SELECT event_id, ts::DATE AS day FROM events")
+@check("SC5_day", "SELECT event_id, ts::DATE::VARCHAR AS day FROM events")
 def _(t):
-    return t.raw("events").select("event_id", S.day("ts").alias("day"))
+    return t.raw("events").select("event_id", S.day("ts").cast("string").alias("day"))
 
 
 @check("SC6_hour", "SELECT event_id, date_trunc('hour', ts)::TIMESTAMP AS hour FROM events")

@@ -3,8 +3,6 @@
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
-
 from auricle import clock
 from auricle.operators import aggregates, filters, joins, sets
 from auricle.plans import queues, reports, retention, transfer

@@ -135,3 +135,9 @@ def test_jobs_to_tables(spark, rows, tmp_path):
     ]
     assert values(tables.progress) == [("b1", 2), ("b2", 2)]
     assert values(written.filter(~F.col("success")), "opus_path", "status") == [("/s/bad.opus", "failed")]
+
+
+def test_payloads_lie_in_date_folders(spark, rows, tmp_path):
+    df = rows("date STRING, key STRING, content BINARY", [("2025-01-02", "k", bytearray(b"x"))])
+    score.write_payloads(df, f"{tmp_path}/p")
+    assert spark.read.parquet(f"{tmp_path}/p/date=2025-01-02").first().key == "k"

@@ -209,3 +209,17 @@ def test_sync_ticks_work_off_the_backlog(spark, rows, tmp_path, limit):
     assert len(ids) == len(set(ids)) and min(ids) > 1
     total = spark.read.parquet(f"{tmp_path}/sync_runs").groupBy().sum("synced_count", "skipped_existing").first()
     assert tuple(total) == (2, 3)
+
+
+def test_messages_written_as_text_come_back_as_jobs(spark, rows, tmp_path):
+    from pyspark.sql import functions as F
+
+    jobs_in = rows("batch_id STRING, n STRING, at TIMESTAMP_NTZ", [("b", 'a "x"\n.tar', None)])
+    at = F.expr("TIMESTAMP_NTZ'2025-01-01 00:00:00'")
+    message = jobs.unpack_message("batch_id", F.lit("archives/b.tar"), "n", at)
+    jobs.write_messages(jobs_in.select(message.alias("value")), f"{tmp_path}/q")
+    stream = jobs.message_stream(spark, f"{tmp_path}/q", "text")
+    sinks.run_to_end(stream, job_streams.route_unpack(f"{tmp_path}/o"), f"{tmp_path}/c")
+    got = spark.read.parquet(f"{tmp_path}/o/jobs").first()
+    assert got.original_filename == 'a "x"\n.tar'
+    assert got.transferred_at == "2025-01-01T00:00:00.000000Z"
