@@ -6,14 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from auricle_checks.registry import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
