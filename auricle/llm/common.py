@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import sys
+from collections.abc import Callable, Iterable, Iterator
+from types import ModuleType
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +35,18 @@ def remove(spark: SparkSession, paths: Iterable[str]) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def per_worker(key: Any, make: Callable[[], Any]) -> Any:
+    """What make() gave the first time a Python worker asked for the key.
+
+    Functions travel to workers by value, their module's globals with them, so what is to outlast a
+    task has a module of its own there.
+    """
+    held = sys.modules.setdefault("auricle_worker", ModuleType("auricle_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -7,6 +7,8 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
+from auricle.llm.common import per_worker
+
 #: A blank between two characters that are not white space starts a new pre-token of the byte-level
 #: BPE pattern, so a text may be cut there and its parts encoded apart. U+180E was white space in
 #: old Unicode versions, so no cut is made beside it.
@@ -75,11 +77,6 @@ class Chunked:
         return b"".join(out)
 
 
-_LOADED: dict[str, Chunked] = {}
-
-
 def encoder(path: str) -> Chunked:
     """One encoder per Python worker and file."""
-    if path not in _LOADED:
-        _LOADED[path] = Chunked(path)
-    return _LOADED[path]
+    return per_worker(("chunked", path), lambda: Chunked(path))
