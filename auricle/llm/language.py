@@ -16,19 +16,20 @@ from auricle.llm.common import fold
 FOLDS = 3
 HELD_OUT = 1
 UNKNOWN = "und"
-#: The sample a dictionary is made of: at most so many distinct texts and bytes for each language.
-SAMPLE_TEXTS = 48
-DICTIONARY_BYTES = 48 << 10
+#: The sample a dictionary is made of: the beginnings of at most so many distinct texts of a language.
+SAMPLE_TEXTS = 192
+SAMPLE_CHARS = 512
+DICTIONARY_BYTES = 96 << 10
 #: Texts are compressed in parts of this size, so that the dictionary and not the text's own
 #: repetition decides; short texts with more effort.
 PART = 2048
-LEVEL, SHORT_LEVEL, SHORT = 3, 12, 512
+LEVEL, SHORT_LEVEL, SHORT = 6, 19, 512
 #: Rejected when the second best is within this share of the best size.
 MARGIN = 0.01
 
 
 def learn(docs: DataFrame, held_out: int | None = HELD_OUT) -> dict[str, bytes]:
-    """A dictionary text for each value of lang, from docs(doc_id, text, lang, …).
+    """A dictionary text for each value of lang, the most frequent first, from docs(doc_id, text, lang, …).
 
     The sample is drawn by a hash of the text from all rows outside the held-out fold, copies
     counting once: rows below a threshold hash that passes about twice SAMPLE_TEXTS of a language,
@@ -46,14 +47,14 @@ def learn(docs: DataFrame, held_out: int | None = HELD_OUT) -> dict[str, bytes]:
         drawn.join(F.broadcast(sizes), "lang")  # one row per language
         .where(F.col("h") < F.lit(2.5 * SAMPLE_TEXTS * spread) / F.col("n"))
         .groupBy("lang", "h")
-        .agg(F.first("text").alias("text"))
+        .agg(F.first("text").alias("text"), F.first("n").alias("n"))
     )
     lowest = Window.partitionBy("lang").orderBy("h")
     rows = (
         near.withColumn("k", F.row_number().over(lowest))
         .where(F.col("k") <= SAMPLE_TEXTS)
-        .select("lang", "k", F.substring("text", 1, DICTIONARY_BYTES // 8).alias("text"))
-        .orderBy("lang", "k")
+        .select("lang", "k", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "n")
+        .orderBy(F.desc("n"), "lang", "k")
         .collect()  # at most SAMPLE_TEXTS short rows for each language
     )
     out: dict[str, bytes] = {}
@@ -61,7 +62,7 @@ def learn(docs: DataFrame, held_out: int | None = HELD_OUT) -> dict[str, bytes]:
         held = out.get(row["lang"], b"")
         if len(held) < DICTIONARY_BYTES:
             out[row["lang"]] = held + b" " + spoken(row["text"])
-    return {k: v[-DICTIONARY_BYTES:] for k, v in sorted(out.items())}
+    return {k: v[-DICTIONARY_BYTES:] for k, v in out.items()}
 
 
 #: Bytes that tell no language: ASCII but for letters and white space.
@@ -106,7 +107,7 @@ class Classifier:
         """(language, score, rejected) of one whole text.
 
         The score is the share of the best language when each gets exp(-size / scale), the scale
-        being a hundredth of the best size. Ties go to the first name. Without a letter in the text, or
+        being a hundredth of the best size. Ties go to the more frequent language. Without a letter in the text, or
         without languages: und, 0, rejected.
         """
         if not self.names or not text or not any(map(str.isalpha, text)):
