@@ -11,13 +11,19 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from auricle.llm.common import shuffle_width, stage
+from auricle.llm.common import components, shuffle_width, stage
 
 SHINGLE = 5
 PERMUTATIONS = 128
 SEED = 3
 AT_ONCE = 512
+#: Bands of so many permutations; texts of similarity 0.8 share one with probability 1 - 5e-8.
+ROWS = 4
+SIMILAR = 0.8
+#: Buckets up to this size are compared pair by pair.
+PAIRED = 64
 
 _RNG = np.random.default_rng(SEED)
 #: Multiply-add-shift hashing: odd factors and offsets of 64 bits, of which the high 32 count.
@@ -162,3 +168,131 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     pairs = last.join(heads, "next_part").select("last_id", "last_text", "first_text")
     inner = found.where("part is null").select(_NAMES[:7])
     return inner.union(pairs.mapInArrow(_ends, KINDS))
+
+
+def _sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, shingles): the sorted different shingle hashes of each text, 32 bits each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                np.unique(shingle_hashes(t.as_py() or "")).astype("<u4").tobytes()
+                for t in batch.column(1)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(rows, pa.binary())], names=["doc_id", "shingles"]
+            )
+
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, shingles binary"
+    )
+
+
+def jaccard(left: bytes, right: bytes) -> float:
+    """Jaccard similarity of two sorted sets of 32-bit hashes; two empty sets are alike."""
+    a, b = np.frombuffer(left, "<u4"), np.frombuffer(right, "<u4")
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """pairs(a, b) whose texts reach the similarity, and the similarity itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alike = [
+                jaccard(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(alike, pa.float64())],
+                names=["a", "b", "alike"],
+            )
+
+    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+    held = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return held.mapInArrow(run, "a long, b long, alike double").where(F.col("alike") >= threshold)
+
+
+def _buckets(members: DataFrame) -> DataFrame:
+    """members(bucket, node) that are not alone in their bucket, with the bucket's size and least."""
+    bucket = Window.partitionBy("bucket")
+    return members.withColumns(
+        {"size": F.count("*").over(bucket), "least": F.min("node").over(bucket)}
+    ).where("size > 1")
+
+
+def _pairs(members: DataFrame) -> DataFrame:
+    left = members.select("bucket", F.col("node").alias("a"))
+    right = members.select("bucket", F.col("node").alias("b"))
+    return left.join(right, "bucket").where("a < b").select("a", "b").distinct()
+
+
+def classes(prints: DataFrame, docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
+    """(fingerprint, class_id) for every fingerprint of prints(doc_id, fingerprint).
+
+    Fingerprints with a band in common are candidates; candidates whose texts have the Jaccard
+    similarity are linked, and class_id is the smallest doc_id reachable. Equal fingerprints are one
+    node. Buckets of up to PAIRED nodes are compared pair by pair. In a larger one each node is
+    compared with the least one: those alike are connected by it, and only the others are compared
+    with all nodes that share a second band with them, so a group of near copies costs a pass, and
+    no link of the bucket is lost. Fingerprints whose rows all have a null id are left out.
+    """
+    nodes = stage(
+        prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("node")),
+        "nodes",
+    )
+    width = 2 * ROWS
+    bands = F.transform(
+        F.sequence(F.lit(0), F.lit(PERMUTATIONS // ROWS - 1)),
+        lambda k: F.xxhash64(k, F.substring("fingerprint", k * width + 1, F.lit(width))),
+    )
+    banded = nodes.select("node", bands.alias("bands"))
+    met = stage(
+        _buckets(banded.select(F.explode("bands").alias("bucket"), "node")), "buckets"
+    )
+    few, many = met.where(F.col("size") <= PAIRED), met.where(F.col("size") > PAIRED)
+    candidates = stage(_pairs(few), "pairs")
+    stars = stage(
+        many.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(),
+        "stars",
+    )
+    wanted = candidates.union(stars).select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = stage(_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "sets")
+    linked = stage(_verified(candidates, sets, threshold).select("a", "b"), "links")
+    starred = stage(_verified(stars, sets, threshold).select("a", "b"), "links")
+    apart = many.where("node > least").join(
+        starred.select(F.col("a").alias("least"), F.col("b").alias("node")), ["least", "node"], "left_anti"
+    )
+    second = (
+        many.select("bucket", "node")
+        .join(apart.select("bucket").distinct(), "bucket", "left_semi")
+        .join(banded, "node")
+        .select("bucket", "node", F.explode("bands").alias("other"))
+        .where("other <> bucket")
+        .select(F.xxhash64("bucket", "other").alias("bucket"), F.col("bucket").alias("first"), "node")
+    )
+    odd = apart.select(F.col("bucket").alias("first"), "node").withColumn("odd", F.lit(True))
+    second = second.join(odd, ["first", "node"], "left")
+    rest = (
+        second.where("odd").select("bucket", F.col("node").alias("a"))
+        .join(second.select("bucket", F.col("node").alias("b")), "bucket")
+        .where("a <> b")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
+    )
+    last = _verified(rest, sets, threshold).select("a", "b")
+    roots = components(linked.union(starred).union(last))
+    return nodes.join(roots, "node", "left").select(
+        "fingerprint", F.coalesce("root", "node").alias("class_id")
+    )
+
+
+def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
+    """The rows of fingerprints(docs) with class_id, the smallest doc_id of texts alike.
+
+    A row with a null id has the class of an equal fingerprint that has an id, else null.
+    """
+    found = stage(fingerprints(docs), "fingerprints")
+    grouped = classes(found.select("doc_id", "fingerprint"), docs, threshold)
+    return found.join(grouped, "fingerprint", "left").select(*found.columns, "class_id")

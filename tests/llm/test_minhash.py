@@ -62,3 +62,44 @@ def test_one_row_and_none(docs, empty):
     (row,) = minhash.fingerprints(docs([(5, "abcd", None)])).collect()
     assert row["edited_sha256"] == hashlib.sha256(b"abab").hexdigest() and row["near_next"] == 1.0
     assert minhash.fingerprints(empty).collect() == []
+
+
+def test_classes_are_those_of_brute_force(docs, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(400)]
+    rows, k = [], 0
+    for _ in range(6):
+        first = rng.choices(words, k=rng.randint(20, 120))
+        for _ in range(rng.randint(1, 14)):
+            text = list(first)
+            for at in rng.sample(range(len(text)), rng.choice([0, 0, 1, 1, 2, len(text) // 8])):
+                text[at] = "changed"
+            rows.append((k, " ".join(text), None))
+            k += 1
+    rows += [(k, "", None), (k + 1, None, None), (k + 2, "one two", None), (k + 3, "one two", None)]
+    root = {key: key for key, _, _ in rows}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a, s, _ in rows:
+        for b, t, _ in rows:
+            x, y = shingles(s or ""), shingles(t or "")
+            if a < b and (x == y or (x and y and len(x & y) / len(x | y) >= 0.8)):
+                p, q = find(a), find(b)
+                root[max(p, q)] = min(p, q)
+    truth = {key: find(key) for key in root}
+    for paired in (64, 3):
+        monkeypatch.setattr(minhash, "PAIRED", paired)
+        got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs(rows)).collect()}
+        assert got == truth
+
+
+def test_classes_of_odd_rows(odd, empty):
+    found = minhash.near_duplicates(odd)
+    assert ids(found) == ODD_IDS
+    part = {r["doc_id"]: r["class_id"] for r in found.collect()}
+    assert part[1] == part[2] == 1 and part[3] == part[4] == part[5] == 3 and part[None] is None
+    assert minhash.near_duplicates(empty).collect() == []
