@@ -328,21 +328,27 @@ def unpack_stats(
     """
     results = conversions.select("batch_id", "stem", "success")
     if metadata is None:
-        joined = results.withColumn("has_metadata", F.lit(False))
-    else:
-        known = metadata.select("batch_id", "stem", F.lit(True).alias("has_metadata"))
-        joined = results.join(known, ["batch_id", "stem"], "left")
-    stats = joined.groupBy("batch_id").agg(
+        return attached_stats(results.withColumn("matched", F.lit(False)))
+    known = metadata.select("batch_id", "stem", F.lit(True).alias("matched"))
+    return attached_stats(results.join(known, ["batch_id", "stem"], "left"), metadata)
+
+
+def attached_stats(attached: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
+    """The same from conversions (batch_id, success, matched) that met their metadata already.
+
+    A batch that has metadata but no audio counts its records.
+    """
+    stats = attached.groupBy("batch_id").agg(
         F.count("*").alias("mp3_found"),
         F.count_if("success").alias("converted"),
         F.count_if(~F.col("success")).alias("failed"),
         F.count_if("success").alias("queued"),
-        F.count_if(F.col("success") & F.col("has_metadata")).alias("metadata_matched"),
+        F.count_if(F.col("success") & F.col("matched")).alias("metadata_matched"),
     )
     if metadata is None:
         return stats.withColumn("metadata_records", F.lit(0).cast("long"))
     records = metadata.groupBy("batch_id").agg(F.count("*").alias("metadata_records"))
-    return stats.join(records, "batch_id", "left").fillna(0, ["metadata_records"])
+    return stats.join(records, "batch_id", "full_outer").fillna(0)
 
 
 def attempt_totals(results: DataFrame) -> DataFrame:

@@ -6,101 +6,188 @@ refused attempt does not renew it.
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auricle.session import durable
+from auricle.session import staged
 
 LEASE_MICROS = 3600 * 1_000_000
-# Files with at most this many attempts are walked in one task each.
-WALK_LIMIT = 100_000
+LAST = (1 << 63) - 1
 
 
-def accepted_attempts(
-    attempts: DataFrame, walk_limit: int = WALK_LIMIT, held: DataFrame | None = None
-) -> DataFrame:
+def accepted_attempts(attempts: DataFrame, held: DataFrame | None = None) -> DataFrame:
     """Accepted rows of (filename, seq, at, released), in order of (at, seq) per file.
 
-    `held` (filename, free_at) gives leases that are in force at the start, one per file.
+    `held` (filename, free_at) gives leases that are in force at the start, one per file. Rows
+    without a file or a time are never accepted; `seq` tells attempts of one moment apart.
 
-    Whether an attempt is accepted depends on the one accepted before it, so a file is walked in
-    order. Files of bounded size are walked in a grouped task. Files with more attempts are
-    walked by rounds: each finds the next accepted attempt of all of them by a min aggregate,
-    which spreads a file over all tasks.
+    Attempts that release are accepted up to the next one that does not (the holder), which then
+    blocks the file for an hour; so each holder has one holder that would follow it. Those reached
+    from the first are found by doubling the steps: the rounds grow with the logarithm of the longest
+    stretch of hours without a free hour, since the attempt after a gap of 60 minutes is always
+    accepted. All windows are over one hour of one file, or over its hours.
     """
     rows = attempts.select(
         "filename", "seq", F.unix_micros(F.col("at").cast("timestamp")).alias("at"), "released"
-    )
-    if held is None:
-        rows = rows.withColumn("start", F.lit(None).cast("long"))
-    else:
+    ).where("filename is not null and at is not null")
+    if held is not None:
         leased = held.select(
             "filename", F.unix_micros(F.col("free_at").cast("timestamp")).alias("start")
         )
-        rows = rows.join(leased, "filename", "left")
-    sizes = rows.groupBy("filename").agg(F.count("*").alias("n"))
-    large = durable(sizes.filter(F.col("n") > walk_limit).select("filename"))
-    small = rows.join(large, "filename", "left_anti")
-    parts = [small.groupBy("filename").applyInPandas(_walk, rows.schema).drop("start")]
-    if not large.isEmpty():
-        parts += _rounds(rows.join(large, "filename", "left_semi"))
-    accepted = reduce(DataFrame.unionByName, parts)
-    return accepted.select(
-        "filename", "seq", F.timestamp_micros("at").cast("timestamp_ntz").alias("at"), "released"
+        rows = rows.join(leased, "filename", "left").where("start is null or at >= start")
+        rows = rows.drop("start")
+    hour = F.floor(F.col("at") / LEASE_MICROS)
+    rows = staged(rows.withColumn("hour", hour).withColumn("spot", F.struct("at", "seq")))
+    hours = staged(_hours(rows))
+    placed = staged(_holders(rows, hours))
+    entries = hours.where("opens").select("filename", F.col("first").alias("entry"))
+    steps = _next_holders(placed, hours)
+    chain = _reached(entries, placed, steps, _rounds(hours))
+    reached = chain.select("filename", "holder", "entry")
+    met = placed.join(reached, ["filename", "holder"]).where("spot >= entry")
+    return met.select(
+        "filename",
+        "seq",
+        F.timestamp_micros("at").cast("timestamp_ntz").alias("at"),
+        "released",
     )
 
 
-def leases_after(accepted: DataFrame) -> DataFrame:
-    """(filename, free_at) from accepted attempts: the last one decides, a release frees."""
-    last = accepted.groupBy("filename").agg(
-        F.max_by(F.struct("at", "released"), F.struct("at", "seq")).alias("a")
+def _hours(rows: DataFrame) -> DataFrame:
+    """One row per file and hour with attempts: its first attempt and holder, those of the hours
+    after it, and whether an hour without attempts ends there (`opens`, `stretch`)."""
+    holder = F.when(~F.coalesce("released", F.lit(False)), F.col("spot"))
+    sums = rows.groupBy("filename", "hour").agg(
+        F.min("spot").alias("first"), F.min(holder).alias("own_holder"), F.max("at").alias("until")
     )
-    return last.filter(~F.col("a.released")).select(
-        "filename", (F.col("a.at") + F.expr("INTERVAL 60 MINUTES")).alias("free_at")
+    order = Window.partitionBy("filename").orderBy("hour")
+    after = order.rowsBetween(1, Window.unboundedFollowing)
+    gap = F.col("first.at") - F.lag("until").over(order)
+    marked = sums.select(
+        "*",
+        F.lead("first").over(order).alias("next_first"),
+        F.first("own_holder", ignorenulls=True).over(after).alias("next_holder"),
+        (gap.isNull() | (gap >= LEASE_MICROS)).alias("opens"),
+    )
+    return marked.withColumn("stretch", F.sum(F.col("opens").cast("int")).over(order))
+
+
+def _holders(rows: DataFrame, hours: DataFrame) -> DataFrame:
+    """The rows with the first holder at or after each; the end of the file stands for none."""
+    order = Window.partitionBy("filename", "hour").orderBy("spot")
+    ahead = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    own = F.when(~F.coalesce("released", F.lit(False)), F.col("spot"))
+    here = rows.withColumn("holder", F.first(own, ignorenulls=True).over(ahead))
+    later = hours.select("filename", "hour", "next_holder")
+    end = F.struct(F.lit(LAST).alias("at"), F.lit(LAST).alias("seq"))
+    return here.join(later, ["filename", "hour"]).select(
+        *rows.columns, F.coalesce("holder", "next_holder", end).alias("holder")
+    )
+
+
+def _next_holders(placed: DataFrame, hours: DataFrame) -> DataFrame:
+    """(filename, holder, entry, next): for each holder the first attempt an hour later, and the
+    holder that comes of it."""
+    asks = placed.where("spot = holder").select(
+        "filename",
+        (F.col("hour") + 1).alias("hour"),
+        F.struct((F.col("at") + LEASE_MICROS).alias("at"), F.lit(-LAST).alias("seq")).alias("spot"),
+        F.col("spot").alias("asking"),
+        F.lit(None).cast(placed.schema["holder"].dataType).alias("holder"),
+    )
+    answers = placed.select(
+        "filename",
+        "hour",
+        "spot",
+        F.lit(None).cast(placed.schema["spot"].dataType).alias("asking"),
+        "holder",
+    )
+    order = Window.partitionBy("filename", "hour").orderBy("spot")
+    ahead = order.rowsBetween(1, Window.unboundedFollowing)
+    found = F.when(F.col("asking").isNull(), F.struct(F.col("spot").alias("entry"), "holder"))
+    met = (
+        answers.unionByName(asks)
+        .withColumn("found", F.first(found, ignorenulls=True).over(ahead))
+        .where("asking is not null")
+    )
+    # nothing left in that hour: the first attempt of the next hour that has any
+    firsts = placed.select("filename", F.col("spot").alias("next_first"), F.col("holder").alias("of_first"))
+    known = hours.select("filename", F.col("hour").alias("at_hour"), "next_first")
+    before = hours.select("filename", "hour")
+    order = Window.partitionBy("filename").orderBy("at_hour")
+    ranges = known.withColumn("to_hour", F.lead("at_hour").over(order))
+    missing = met.where("found is null").select("filename", "hour", "asking")
+    same = missing.join(before, ["filename", "hour"], "left_semi").join(
+        ranges.select("filename", F.col("at_hour").alias("hour"), "next_first"), ["filename", "hour"]
+    )
+    # the hour itself has no attempt: the hour before it is the holder's own
+    empty = (
+        missing.join(before, ["filename", "hour"], "left_anti")
+        .withColumn("at_hour", F.col("hour") - 1)
+        .join(ranges.select("filename", "at_hour", "next_first"), ["filename", "at_hour"])
     )
+    columns = ["filename", "asking", "next_first"]
+    rest = same.select(*columns).union(empty.select(*columns)).join(firsts, ["filename", "next_first"])
+    return met.where("found is not null").select(
+        "filename",
+        F.col("asking").alias("holder"),
+        F.col("found.entry").alias("entry"),
+        F.col("found.holder").alias("next"),
+    ).union(
+        rest.select("filename", F.col("asking").alias("holder"), F.col("next_first").alias("entry"), F.col("of_first").alias("next"))
+    )
+
+
+def _rounds(hours: DataFrame) -> int:
+    """Doublings that cover the longest stretch: a holder is followed an hour later at the least."""
+    length = (
+        hours.groupBy("filename", "stretch")
+        .agg((F.max("hour") - F.min("hour") + 2).alias("n"))
+        .agg(F.max("n"))
+        .first()[0]
+    )
+    return math.ceil(math.log2(length)) if length else 0
 
 
-def _walk(attempts: pd.DataFrame) -> pd.DataFrame:
-    ordered = attempts.sort_values(["at", "seq"])
-    start = ordered["start"].iloc[0]
-    free_at, keep = None if pd.isna(start) else int(start), []
-    for at, released in zip(ordered["at"], ordered["released"]):
-        accepted = free_at is None or at >= free_at
-        keep.append(accepted)
-        if accepted:
-            free_at = None if released else at + LEASE_MICROS
-    return ordered[keep]
-
-
-def _rounds(rows: DataFrame) -> list[DataFrame]:
-    """One frame per round; a round has at most one row per file."""
-    found = []
-    state = None
-    while True:
-        if state is None:
-            open_rows = rows.filter(F.col("start").isNull() | (F.col("at") >= F.col("start")))
-        else:
-            later = (F.col("at") > F.col("last_at")) | (
-                (F.col("at") == F.col("last_at")) & (F.col("seq") > F.col("last_seq"))
+def _reached(entries: DataFrame, placed: DataFrame, steps: DataFrame, rounds: int) -> DataFrame:
+    """(filename, holder, entry): the holders reached from the entries, with the first attempt of
+    those that lead to each."""
+    starts = entries.join(
+        placed.select("filename", F.col("spot").alias("entry"), "holder"), ["filename", "entry"]
+    )
+    reached = staged(starts.groupBy("filename", "holder").agg(F.min("entry").alias("entry")))
+    jumps = staged(steps)
+    for step in range(rounds):
+        if step:
+            further = jumps.select(
+                "filename",
+                F.col("holder").alias("next"),
+                F.col("entry").alias("far_entry"),
+                F.col("next").alias("far"),
             )
-            open_rows = rows.join(state, "filename").filter(
-                later & (F.col("at") >= F.col("free_at"))
+            jumps = staged(
+                jumps.join(further, ["filename", "next"]).select(
+                    "filename", "holder", F.col("far_entry").alias("entry"), F.col("far").alias("next")
+                )
             )
-        first = open_rows.groupBy("filename").agg(
-            F.min(F.struct("at", "seq", "released")).alias("a")
+        more = reached.select("filename", "holder").join(jumps, ["filename", "holder"]).select(
+            "filename", F.col("next").alias("holder"), "entry"
         )
-        step = durable(first.select("filename", "a.seq", "a.at", "a.released"))
-        if step.isEmpty():
-            return found
-        found.append(step)
-        state = step.select(
-            "filename",
-            F.col("at").alias("last_at"),
-            F.col("seq").alias("last_seq"),
-            F.when(F.col("released"), F.col("at"))
-            .otherwise(F.col("at") + LEASE_MICROS)
-            .alias("free_at"),
+        reached = staged(
+            reached.unionByName(more)
+            .groupBy("filename", "holder")
+            .agg(F.min("entry").alias("entry"))
         )
+    return reached
+
+
+def leases_after(accepted: DataFrame) -> DataFrame:
+    """(filename, free_at) from accepted attempts: the last one decides, a release frees."""
+    last = accepted.groupBy("filename").agg(
+        F.max_by(F.struct("at", "released"), F.struct("at", "seq")).alias("a")
+    )
+    return last.filter(~F.col("a.released")).select(
+        "filename", (F.col("a.at") + F.expr("INTERVAL 60 MINUTES")).alias("free_at")
+    )

@@ -101,8 +101,8 @@ def score_rows(
 
     `load()` is called once per Python worker process and returns the function; `model_key`
     names what it loads. The function takes the columns of `df` and returns one row of result
-    columns per input row. A slice that fails is tried row by row; a row that fails keeps null
-    results and its message in `error`. Rows with null in the column `needs` are not scored.
+    columns per input row. A slice that fails, or gives more or fewer rows than it got, is tried row
+    by row; a row that fails so keeps null results and its message in `error`. Rows with null in the column `needs` are not scored.
     """
     results = T._parse_datatype_string(result_schema)
     names = [f.name for f in results.fields]
@@ -143,6 +143,8 @@ def _unscored(part: pd.DataFrame, names: list[str], error: str | None = None) ->
 def _score_slice(model, part: pd.DataFrame, names: list[str]) -> pd.DataFrame:
     try:
         scored = model(part)
+        if len(scored) != len(part):
+            raise ValueError(f"the model gave {len(scored)} rows for {len(part)}")
         return pd.concat([part, scored[names].reset_index(drop=True)], axis=1).assign(error=None)
     except Exception as error:
         if len(part) == 1:

@@ -15,15 +15,23 @@ BROADCAST_ROWS = 10_000
 
 
 def _flagged_items(
-    files: DataFrame, transcripts: DataFrame, classifications: DataFrame, stage: bool
+    files: DataFrame,
+    transcripts: DataFrame,
+    classifications: DataFrame,
+    stage: bool,
+    threshold: float | None = None,
 ) -> DataFrame:
     """files ⋈ transcripts ⋈ flagged classifications.
 
     The flagged side is the most selective, so it is joined to the files first. With `stage` that
     result is written, and its real size decides the join with the transcripts: a small one is
-    broadcast and the transcripts stay where they are; a large one is joined by shuffle.
+    broadcast and the transcripts stay where they are; a large one is joined by shuffle. Flags below
+    the threshold are left out before.
     """
-    flags = filters.flagged_only(classifications).select(
+    flagged = filters.flagged_only(classifications)
+    if threshold is not None:
+        flagged = flagged.filter(F.col("flag_score") >= threshold)
+    flags = flagged.select(
         F.col("id").alias("classification_id"),
         F.col("audio_file_id").alias("flag_of"),
         "flag_score",
@@ -116,18 +124,25 @@ def with_text(top: DataFrame, transcripts: DataFrame, limit: int) -> DataFrame:
 
 
 def sync_candidates(
-    files: DataFrame, transcripts: DataFrame, classifications: DataFrame, stage: bool = False
+    files: DataFrame,
+    transcripts: DataFrame,
+    classifications: DataFrame,
+    stage: bool = False,
+    threshold: float | None = None,
 ) -> DataFrame:
-    """Flagged, unsynced files that carry a metadata id."""
-    fresh = files.filter(~F.col("synced_to_ra")).select(
-        "id", "parquet_metadata", "parquet_country", "parquet_lang", "created_at"
-    )
-    items = _flagged_items(
-        filters.with_metadata_key(fresh, "meta_id"), transcripts, classifications, stage
+    """Flagged, unsynced files that carry a metadata id; of a threshold on, if there is one."""
+    fresh = filters.with_metadata_key(files.filter(~F.col("synced_to_ra")), "meta_id").select(
+        "id",
+        S.json_text("parquet_metadata", "meta_id").alias("meta_id"),
+        S.json_text("parquet_metadata", "author_uniqueid").alias("author_uniqueid"),
+        "parquet_country",
+        "parquet_lang",
+        "created_at",
     )
+    items = _flagged_items(fresh, transcripts, classifications, stage, threshold)
     return items.select(
         F.col("id").alias("audio_file_id"),
-        S.json_text("parquet_metadata", "meta_id").alias("meta_id"),
+        "meta_id",
         *(
             [F.col("transcript_text").alias("transcript")]
             if "transcript_text" in transcripts.columns
@@ -136,7 +151,7 @@ def sync_candidates(
         F.col("flag_score").alias("label_1_pred"),
         F.col("parquet_country").alias("country"),
         F.col("parquet_lang").alias("lang"),
-        S.json_text("parquet_metadata", "author_uniqueid").alias("author_uniqueid"),
+        "author_uniqueid",
         F.year("created_at").alias("year"),
         F.month("created_at").alias("month"),
         F.dayofmonth("created_at").alias("day"),
@@ -202,7 +217,7 @@ def ready_for_sync(
         "original_filename",
         "opus_path",
         "created_at",
-        "transcript_text",
+        *(["transcript_text"] if "transcript_text" in transcripts.columns else ["transcript_id"]),
         "language",
         F.col("confidence").alias("whisper_confidence"),
         F.lit(True).alias("flagged"),

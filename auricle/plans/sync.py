@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auricle.functions import scalars as S
@@ -64,18 +64,14 @@ def plan_sync(
     limit: int = 100,
 ) -> SyncPlan:
     narrow = queues.sync_candidates(
-        files, transcripts.select("id", "audio_file_id"), classifications, stage=True
-    )
-    top = (
-        narrow.filter(F.col("label_1_pred") >= threshold)
-        .orderBy(
-            F.desc_nulls_first("label_1_pred"),
-            "audio_file_id",
-            "transcript_id",
-            "classification_id",
-        )
-        .limit(limit)
+        files, transcripts.select("id", "audio_file_id"), classifications, True, threshold
     )
+    top = narrow.orderBy(
+        F.desc_nulls_first("label_1_pred"),
+        "audio_file_id",
+        "transcript_id",
+        "classification_id",
+    ).limit(limit)
     by_score = Window.orderBy(
         F.desc_nulls_first("label_1_pred"), "audio_file_id", "transcript_id", "classification_id"
     )
@@ -134,7 +130,12 @@ def _review_rows(
 ) -> DataFrame:
     names = ["creator_id", "author_uniqueid"]
     known = _probe(creators.select(*names), synced, "author_uniqueid", limit)
-    ids = known.unionByName(new_creators.select(*names))
+    # one id for each author, also where the creators table holds an author twice
+    ids = (
+        known.unionByName(new_creators.select(*names))
+        .groupBy("author_uniqueid")
+        .agg(F.min("creator_id").alias("creator_id"))
+    )
     return synced.join(_small(ids, limit), "author_uniqueid", "left").select(
         "meta_id",
         "year",
@@ -162,6 +163,34 @@ def write_sync(plan: SyncPlan, root: str, run: str) -> None:
         frame.write.mode("overwrite").parquet(f"{root}/{name}/run={run}")
 
 
+def earlier_runs(
+    spark: SparkSession, root: str, before: Column | None = None
+) -> dict[str, DataFrame] | None:
+    """What runs have written below `root` (those for which `before` holds); None if none has."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/sync_runs")
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return None
+    names = ("transcripts", "creators", "sync_events")
+    frames = {n: spark.read.parquet(f"{root}/{n}") for n in names}
+    return frames if before is None else {n: f.filter(before) for n, f in frames.items()}
+
+
+def after_runs(
+    files: DataFrame,
+    review_rows: DataFrame,
+    creators: DataFrame,
+    written: dict[str, DataFrame] | None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Files left to sync, review ids and creators as they are after the earlier runs."""
+    if written is None:
+        return files, review_rows, creators
+    left = files.join(written["sync_events"].select("id").distinct(), "id", "left_anti")
+    keys = review_rows.select("meta_id").unionByName(written["transcripts"].select("meta_id"))
+    names = ["creator_id", "author_uniqueid"]
+    known = creators.select(*names).unionByName(written["creators"].select(*names))
+    return left, keys, known
+
+
 def dry_run(
     files: DataFrame, transcripts: DataFrame, classifications: DataFrame, threshold: float = 0.7
 ) -> DataFrame:
@@ -190,9 +219,14 @@ def plan_sync_by_name(
 ) -> NameSyncPlan:
     """Every taken item counts, also when its review row exists. A review id that would be given
     to two files breaks the unique key of the files and fails the whole run."""
-    ready = queues.ready_for_sync(files, transcripts, classifications, stage=True)
+    ready = queues.ready_for_sync(
+        files,
+        transcripts.select("id", "audio_file_id", "language", "confidence"),
+        classifications,
+        stage=True,
+    )
     taken = durable(
-        ready.limit(limit)
+        queues.with_text(ready.limit(limit), transcripts, limit)
         .withColumn("meta_id", S.strip_extension("original_filename"))
         .withColumn(
             "rk",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from auricle.functions import scalars as S
 from auricle.operators import aggregates, joins, ranking
-from auricle.session import durable
+from auricle.session import durable, staged
 from auricle.sources import archives as tar
 from auricle.sources import jobs as messages
 from auricle.sources import metadata as meta
@@ -90,9 +90,10 @@ def unpack(
             F.concat(F.lit(f"{scratch}/"), "batch_id", F.lit("/"), "stem", F.lit(".opus")),
         )
     )
-    # Several outputs read the parsed metadata and the batch counts, so both are kept.
+    # Several outputs read the metadata, the audio that met it and the batch counts, so all are kept.
     metadata = durable(batch_metadata(members, metadata_format))
-    stats = durable(aggregates.unpack_stats(results, metadata))
+    met = staged(joins.attach_metadata(results, metadata))
+    stats = durable(aggregates.attached_stats(met, metadata))
     state = (
         jobs.select("batch_id", "s3_key", "value")
         .join(present, "batch_id", "left")
@@ -105,14 +106,12 @@ def unpack(
             F.col("unpack_error").isNotNull(),
             F.concat(F.lit("Failed to extract archive for batch "), "batch_id"),
         )
-        .when(F.col("converted") == 0, F.concat(F.lit("No files converted for batch "), "batch_id"))
+        .when((F.col("mp3_found") > 0) & (F.col("converted") == 0), F.concat(F.lit("No files converted for batch "), "batch_id"))
     )
     state = state.withColumn("failure", failure)
     good = state.filter(F.col("failure").isNull())
     counted = good.filter(F.col("converted") > 0)
-    attached = joins.attach_metadata(results.filter("success"), metadata).join(
-        counted.select("batch_id"), "batch_id", "left_semi"
-    )
+    attached = met.filter("success").join(counted.select("batch_id"), "batch_id", "left_semi")
     numbers = [c for c in stats.columns if c != "batch_id"]
     return UnpackResult(
         transcribe_jobs=attached.select(

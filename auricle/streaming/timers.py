@@ -8,11 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auricle.operators import changes, leases
 from auricle.plans import sync
 from auricle.sources import objects
 from auricle.streaming.sinks import write_epoch
@@ -28,10 +26,10 @@ def ticks(spark: SparkSession) -> DataFrame:
 
 def _written(spark: SparkSession, path: str, run: str, epoch: int) -> DataFrame | None:
     """Rows of earlier epochs, or None before the first one."""
-    try:
-        return spark.read.option("basePath", path).parquet(path).filter(F.col(run) < epoch)
-    except AnalysisException:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
         return None
+    return spark.read.option("basePath", path).parquet(path).filter(F.col(run) < epoch)
 
 
 def sync_tick(
@@ -50,14 +48,8 @@ def sync_tick(
 
     def each(_batch: DataFrame, epoch: int) -> None:
         files, transcripts, classifications, review_rows, creators = tables()
-        marked = _written(spark, f"{root}/sync_events", "run", epoch)
-        if marked is not None:
-            files = changes.apply_sync(files, marked.select("id", "at"))
-            new_rows = _written(spark, f"{root}/transcripts", "run", epoch)
-            review_rows = review_rows.select("meta_id").unionByName(new_rows.select("meta_id"))
-            names = ["creator_id", "author_uniqueid"]
-            new_creators = _written(spark, f"{root}/creators", "run", epoch)
-            creators = creators.select(*names).unionByName(new_creators.select(*names))
+        written = sync.earlier_runs(spark, root, F.col("run").cast("long") < epoch)
+        files, review_rows, creators = sync.after_runs(files, review_rows, creators, written)
         plan = sync.plan_sync(
             files,
             transcripts,
@@ -90,23 +82,3 @@ def poll_tick(
         write_epoch(ready, out, epoch)
 
     return each
-
-
-def lease_batches(spark: SparkSession, out: str) -> Callable[[DataFrame, int], None]:
-    """Accept or refuse the attempts (filename, seq, at, released) of each micro-batch exactly.
-
-    Leases in force come from the attempts accepted in earlier epochs; only those of the hour
-    before the micro-batch can matter, so no more is read.
-    """
-
-    def each(batch: DataFrame, epoch: int) -> None:
-        batch.persist()
-        before = _written(spark, out, "epoch", epoch)
-        held = None
-        if before is not None:
-            begin = batch.agg(F.min("at")).scalar() - F.expr("INTERVAL 60 MINUTES")
-            held = leases.leases_after(before.filter(F.col("at") >= begin))
-        write_epoch(leases.accepted_attempts(batch, held=held), out, epoch)
-        batch.unpersist()
-
-    return each

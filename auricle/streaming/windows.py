@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from datetime import timedelta
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from auricle.operators.leases import LEASE_MICROS
 
 
 def hourly_counts(files: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -17,10 +24,52 @@ def hourly_counts(files: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
-def first_attempts(attempts: DataFrame, lease: str = "60 minutes") -> DataFrame:
-    """Attempts (filename, at) with repeats of a file inside the lease dropped.
+def accepted_attempts(attempts: DataFrame, idle: timedelta | None = None) -> DataFrame:
+    """The accepted rows of a stream of attempts (filename, seq, at, released), exactly.
 
-    State holds one row per file until the watermark passes its lease. At the edge of a lease
-    the watermark decides; `operators.leases` gives the exact rule for a batch.
+    The state holds the moment a file is free again, one number per file; an outcome that releases
+    the lease removes it. With `idle` a file that is quiet for so long in processing time, which must
+    exceed a lease, is forgotten, and the query runs until stopped; without, it ends with its input.
+    Attempts of one file are taken in order of (at, seq) within a micro-batch; across
+    micro-batches the stream has to bring them in order of time.
     """
-    return attempts.withWatermark("at", lease).dropDuplicatesWithinWatermark(["filename"])
+    kind = GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout
+
+    def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(frames)).sort_values(["at", "seq"])
+        free_at = state.get[0] if state.exists else None
+        keep = []
+        for at, released in zip(rows["at"], rows["released"]):
+            accepted = free_at is None or at >= free_at
+            keep.append(accepted)
+            if accepted:
+                free_at = None if released else at + LEASE_MICROS
+        if free_at is None:
+            if state.exists:
+                state.remove()
+        else:
+            state.update((int(free_at),))
+            if idle:
+                state.setTimeoutDuration(int(idle.total_seconds() * 1000))
+        yield rows[keep]
+
+    narrow = attempts.select(
+        "filename",
+        "seq",
+        F.unix_micros(F.col("at").cast("timestamp")).alias("at"),
+        F.coalesce("released", F.lit(False)).alias("released"),
+    ).where("filename is not null and at is not null")
+    return (
+        narrow.groupBy("filename")
+        .applyInPandasWithState(
+            step,
+            "filename STRING, seq BIGINT, at BIGINT, released BOOLEAN",
+            "free_at BIGINT",
+            "append",
+            kind,
+        )
+        .withColumn("at", F.timestamp_micros("at").cast("timestamp_ntz"))
+    )

@@ -272,6 +272,43 @@ def _(t):
     )
 
 
+def _miscounting(keep):
+    """A model whose answer has keep(length) rows for each row."""
+
+    def load():
+        def lengths(rows):
+            n = rows["text"].str.len()
+            return pd.DataFrame({"n": n.repeat(n.map(keep)).reset_index(drop=True)})
+
+        return lengths
+
+    return load
+
+
+@check(
+    "UD6_short_answers",
+    """SELECT doc_id, CASE WHEN length(text) % 5 > 0 THEN length(text) END AS n,
+       CASE WHEN length(text) % 5 = 0 THEN 'ValueError: the model gave 0 rows for 1' END AS error
+FROM documents""",
+)
+def _(t):
+    docs = t.raw("documents").select("doc_id", "text")
+    load = _miscounting(lambda n: int(n % 5 > 0))
+    return scoring.score_rows(docs, load, "n BIGINT", "short").select("doc_id", "n", "error")
+
+
+@check(
+    "UD6_long_answers",
+    """SELECT doc_id, CASE WHEN length(text) % 5 > 0 THEN length(text) END AS n,
+       CASE WHEN length(text) % 5 = 0 THEN 'ValueError: the model gave 2 rows for 1' END AS error
+FROM documents""",
+)
+def _(t):
+    docs = t.raw("documents").select("doc_id", "text")
+    load = _miscounting(lambda n: 1 if n % 5 > 0 else 2)
+    return scoring.score_rows(docs, load, "n BIGINT", "long").select("doc_id", "n", "error")
+
+
 ASSEMBLED = f"""
 SELECT d.doc_id AS audio_file_id, sha256(coalesce(s.heard, '')) AS digest,
        round(coalesce(s.confidence, 0.0), 9) AS confidence

@@ -404,6 +404,23 @@ def _(t):
     return A.unpack_stats(conversions(t), file_metadata(t))
 
 
+@check(
+    "A27_batches_without_audio",
+    CONVERSIONS
+    + """, audio AS (SELECT * FROM conversions WHERE length(stem) % 3 = 0 AND batch_id NOT LIKE '%1')
+SELECT coalesce(a.batch_id, m.batch_id) AS batch_id, coalesce(mp3_found, 0) AS mp3_found,
+       coalesce(metadata_records, 0) AS metadata_records
+FROM (SELECT batch_id, count(*) AS mp3_found FROM audio GROUP BY 1) a
+FULL JOIN (SELECT batch_id, count(*) AS metadata_records FROM metadata GROUP BY 1) m
+  ON a.batch_id = m.batch_id""",
+)
+def _(t):
+    audio = conversions(t).where("length(stem) % 3 = 0 and batch_id not like '%1'")
+    return A.unpack_stats(audio, file_metadata(t)).select(
+        "batch_id", "mp3_found", "metadata_records"
+    )
+
+
 @check(
     "A28_attempt_totals",
     CONVERSIONS

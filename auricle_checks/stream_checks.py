@@ -1,5 +1,6 @@
 """Streams, run to the end of their input and compared with the batch form in SQL."""
 
+import time
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
@@ -192,33 +193,63 @@ def _(t):
     return leases.accepted_attempts(_lease_attempts(t)).select("filename", "seq")
 
 
-@check("ST5_lease_stream", LEASES, whole=True)
-def _(t):
+def _lease_stream(t):
+    """The attempts in five micro-batches by time, through the stateful stream."""
     out = run_dir(t.spark, "lease-stream")
-    _lease_attempts(t).write.parquet(f"{out}/attempts")
-    stream = t.spark.readStream.schema(
-        "filename STRING, seq BIGINT, at TIMESTAMP_NTZ, released BOOLEAN"
-    ).parquet(f"{out}/attempts")
-    sinks.run_to_end(stream, timers.lease_batches(t.spark, f"{out}/rows"), f"{out}/checkpoint")
-    return sinks.read_epochs(t.spark, f"{out}/rows", "filename STRING, seq BIGINT").select(
-        "filename", "seq"
+    attempts = _lease_attempts(t)
+    first, last = attempts.agg(F.min("at"), F.max("at")).first()
+    bounds = [first + (last - first) * k / 5 for k in range(5)] + [last + timedelta(seconds=1)]
+    for begin, end in zip(bounds, bounds[1:]):
+        # one file after the other, since the source takes the oldest first
+        part = attempts.where((F.col("at") >= F.lit(begin)) & (F.col("at") < F.lit(end)))
+        part.coalesce(1).write.mode("append").parquet(f"{out}/attempts")
+        time.sleep(1.1)
+    stream = (
+        t.spark.readStream.schema(
+            "filename STRING, seq BIGINT, at TIMESTAMP_NTZ, released BOOLEAN"
+        )
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{out}/attempts")
     )
-
-
-@check("ST5_first_attempt_stream", "SELECT DISTINCT 'u' || user_id AS filename FROM events")
-def _(t):
-    out = run_dir(t.spark, "leases")
-    t.raw("events").select(
-        F.concat(F.lit("u"), "user_id").alias("filename"), F.col("ts").cast("timestamp").alias("at")
-    ).write.parquet(f"{out}/attempts")
-    stream = t.spark.readStream.schema("filename STRING, at TIMESTAMP").parquet(f"{out}/attempts")
     sinks.run_to_end(
-        windows.first_attempts(stream),
+        windows.accepted_attempts(stream),
         lambda batch, epoch: sinks.write_epoch(batch, f"{out}/rows", epoch),
         f"{out}/checkpoint",
     )
-    rows = sinks.read_epochs(t.spark, f"{out}/rows", "filename STRING, at TIMESTAMP")
-    return rows.select("filename").distinct()
+    return sinks.read_epochs(t.spark, f"{out}/rows", "filename STRING, seq BIGINT, at TIMESTAMP_NTZ")
+
+
+@check("ST5_lease_stream", LEASES, whole=True)
+def _(t):
+    return _lease_stream(t).select("filename", "seq")
+
+
+@check(
+    "ST5_first_attempt_stream",
+    """SELECT 'u' || user_id AS filename, min(ts) AS at, arg_min(event_id, (ts, event_id)) AS seq
+FROM events GROUP BY user_id""",
+)
+def _(t):
+    rows = _lease_stream(t)
+    first = rows.groupBy("filename").agg(F.min(F.struct("at", "seq")).alias("a"))
+    return first.select("filename", "a.at", "a.seq")
+
+
+@check(
+    "ST5_one_file_released",
+    "SELECT 'all' AS filename, count(*) AS accepted, min(event_id) AS least FROM events",
+)
+def _(t):
+    attempts = t.raw("events").select(
+        F.lit("all").alias("filename"),
+        F.col("event_id").alias("seq"),
+        F.col("ts").alias("at"),
+        F.lit(True).alias("released"),
+    )
+    taken = leases.accepted_attempts(attempts)
+    return taken.groupBy("filename").agg(
+        F.count("*").alias("accepted"), F.min("seq").alias("least")
+    )
 
 
 @check("ST6_incremental_sync", SYNC_SUMMARY.replace("<= 100", "<= 500"))

@@ -35,3 +35,23 @@ def test_commands(spark, rows, tmp_path, capsys):
     call(spark, "sync", "--root", root)
     written = spark.read.parquet(f"{root}/sync/transcripts").orderBy("meta_id").collect()
     assert [(r.meta_id, r.creator_id) for r in written] == [("m1", 4), ("m3", 5)]
+
+
+def test_sync_goes_on_from_earlier_runs(spark, rows, tmp_path):
+    root = f"file:{tmp_path}"
+    prepare(rows, root)
+    for _ in range(4):
+        call(spark, "sync", "--root", root, "--limit", "1")
+    written = spark.read.parquet(f"{root}/sync/transcripts").orderBy("meta_id").collect()
+    assert [(r.meta_id, r.creator_id) for r in written] == [("m1", 4), ("m3", 5)]
+    events = spark.read.parquet(f"{root}/sync/sync_events")
+    assert sorted(r.id for r in events.collect()) == [1, 2, 3]
+
+
+def test_whole_results_are_written(spark, rows, tmp_path, capsys):
+    root = f"file:{tmp_path}"
+    prepare(rows, root)
+    call(spark, "clear-plan", "--root", root, "--out", f"{root}-plan")
+    shown = capsys.readouterr().out
+    count = spark.read.parquet(f"{root}-plan/objects").count()
+    assert count and f"objects: {count} rows, written to" in shown
