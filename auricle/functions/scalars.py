@@ -180,18 +180,19 @@ def _has_digit(cell: Column) -> Column:
 
 
 def cell_kind(cell: Column | str) -> Column:
-    """'int', 'float' or 'text' for a cell; integers beyond 64 bits stay text."""
+    """'int', 'float' or 'text' for a cell; integers may have any number of digits."""
     value = col(cell)
     dotted = value.contains(".")
     return (
         F.when(~_has_digit(value), "text")
         .when(dotted & value.rlike(FLOAT_CELL), "float")
-        .when(~dotted & cell_int(value).isNotNull(), "int")
+        .when(~dotted & value.rlike(INT_CELL), "int")
         .otherwise("text")
     )
 
 
 def cell_int(cell: Column | str) -> Column:
+    """The integer of a cell; null beyond 64 bits, where `cell_json` keeps its digits."""
     value = col(cell)
     return F.when(_has_digit(value) & value.rlike(INT_CELL), _digits(value)).try_cast("bigint")
 
@@ -201,6 +202,11 @@ def cell_float(cell: Column | str) -> Column:
     return F.when(_has_digit(value) & value.rlike(FLOAT_CELL), _digits(value)).try_cast("double")
 
 
+def _plain_integer(cell: Column) -> Column:
+    unsigned = F.regexp_replace(_digits(cell), r"^\+", "")
+    return F.regexp_replace(unsigned, "^(-?)0+(?=[0-9])", "$1")
+
+
 def cell_json(cell: Column) -> Column:
     """A cell as JSON: number, string, or null for a missing cell."""
     kind = cell_kind(cell)
@@ -208,21 +214,12 @@ def cell_json(cell: Column) -> Column:
     finite = number.isNotNull() & (F.abs(number) <= F.lit(1.7976931348623157e308))
     return (
         F.when(cell.isNull(), "null")
-        .when(kind == "int", cell_int(cell).cast("string"))
+        .when(kind == "int", F.coalesce(cell_int(cell).cast("string"), _plain_integer(cell)))
         .when((kind == "float") & finite, number.cast("string"))
         .otherwise(json_quote(cell))
     )
 
 
-def cells_json(cells: Column | str) -> Column:
-    """A name → cell map as one JSON object with inferred value types."""
-    pairs = F.transform(
-        F.map_entries(col(cells)),
-        lambda e: F.concat(json_quote(e["key"]), F.lit(":"), cell_json(e["value"])),
-    )
-    return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
-
-
 # --- classification ---------------------------------------------------------
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from auricle import clock
 from auricle.functions import scalars as S
+from auricle.operators import filters
 
 # The statuses of the daily report, in report order.
 DAILY_STATUSES = ("pending", "transcribed", "classified", "synced", "failed")
@@ -20,7 +21,7 @@ DAILY_STATUSES = ("pending", "transcribed", "classified", "synced", "failed")
 def _classified(files: DataFrame, classifications: DataFrame) -> DataFrame:
     """Files with their classifications, reduced to what the counts read."""
     return files.select("id", "created_at").join(
-        classifications.select("audio_file_id", "flagged", "flag_score", "flag_category"),
+        filters.within_ids(classifications, files).select("audio_file_id", "flagged", "flag_score", "flag_category"),
         F.col("id") == F.col("audio_file_id"),
     )
 
@@ -141,8 +142,9 @@ def volume(files: DataFrame, as_of: Column) -> DataFrame:
 
 def _recent_children(files: DataFrame, children: DataFrame, as_of: Column) -> DataFrame:
     """Child rows of recent files; ids are unique, so this is a semi join."""
-    ids = clock.recent(files, as_of).select(F.col("id").alias("audio_file_id"))
-    return children.join(ids, "audio_file_id", "left_semi")
+    recent = clock.recent(files, as_of)
+    ids = recent.select(F.col("id").alias("audio_file_id"))
+    return filters.within_ids(children, recent).join(ids, "audio_file_id", "left_semi")
 
 
 def language_counts(files: DataFrame, transcripts: DataFrame, as_of: Column) -> DataFrame:
@@ -254,10 +256,10 @@ def completeness(
     interval: str = "24 HOURS",
 ) -> DataFrame:
     """One row over the window: totals, coverage and their percentages."""
-    joined = _with_child(
-        clock.recent(files, as_of, interval).select("id"), transcripts, []
-    ).select("id", F.col("child_id").alias("transcript_id"))
-    joined = _with_child(joined, classifications, ["flagged"])
+    recent = clock.recent(files, as_of, interval)
+    joined = _with_child(recent.select("id"), filters.within_ids(transcripts, recent), [])
+    joined = joined.select("id", F.col("child_id").alias("transcript_id"))
+    joined = _with_child(joined, filters.within_ids(classifications, recent), ["flagged"])
     totals = joined.agg(
         F.count("*").alias("total"),
         F.count("transcript_id").alias("with_transcript"),

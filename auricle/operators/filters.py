@@ -68,3 +68,13 @@ def recent_failures(files: DataFrame, as_of: Column, limit: int = 20) -> DataFra
         .orderBy(F.desc_nulls_first("created_at"), "id")
         .limit(limit)
     )
+
+
+def within_ids(children: DataFrame, files: DataFrame) -> DataFrame:
+    """Child rows between the least and the largest id of the files.
+
+    A bound for the scan only, given as two values: a child table written in order of its file id
+    skips the row groups outside. The join that follows decides.
+    """
+    low, high = files.agg(F.min("id")).scalar(), files.agg(F.max("id")).scalar()
+    return children.filter((F.col("audio_file_id") >= low) & (F.col("audio_file_id") <= high))

@@ -66,7 +66,12 @@ def flagged_queue(
         "synced_to_ra",
         "created_at",
     )
-    queue = _flagged_items(fresh, transcripts, classifications, stage).select(
+    queue = _flagged_items(
+        fresh,
+        filters.within_ids(transcripts, fresh),
+        filters.within_ids(classifications, fresh),
+        stage,
+    ).select(
         "id",
         "original_filename",
         "opus_path",
@@ -99,6 +104,8 @@ def pending_flagged(
     fresh = filters.with_status(clock.recent(files, as_of), "flagged").select(
         "id", "original_filename", "opus_path", "created_at"
     )
+    transcripts = filters.within_ids(transcripts, fresh)
+    classifications = filters.within_ids(classifications, fresh)
     top = (
         _flagged_items(fresh, transcripts.select("id", "audio_file_id"), classifications, True)
         .orderBy(F.desc_nulls_first("flag_score"), "id", "transcript_id", "classification_id")
@@ -253,13 +260,13 @@ def file_details(
         keys = F.broadcast(first.select(F.col("id").alias("audio_file_id")))
     else:
         keys = first.select(F.col("id").alias("audio_file_id"))
-    texts = transcripts.join(keys, "audio_file_id", "left_semi").select(
+    texts = filters.within_ids(transcripts, first).join(keys, "audio_file_id", "left_semi").select(
         F.col("audio_file_id").alias("text_of"),
         F.col("id").alias("transcript_id"),
         F.col("transcript_text").isNotNull().alias("text_present"),
         "language",
     )
-    flags = classifications.join(keys, "audio_file_id", "left_semi").select(
+    flags = filters.within_ids(classifications, first).join(keys, "audio_file_id", "left_semi").select(
         F.col("audio_file_id").alias("flag_of"),
         F.col("id").alias("classification_id"),
         "flagged",

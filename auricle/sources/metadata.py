@@ -5,9 +5,12 @@ from __future__ import annotations
 import csv
 import io
 import json
+import math
 from collections.abc import Iterator
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,33 +24,24 @@ def read_parquet_metadata(spark: SparkSession, path: str) -> DataFrame:
     """(meta_id, metadata): the last row of each id over all Parquet files below a path.
 
     Files may have different columns, and columns that differ by case only, so the wide scan
-    runs in a session of its own that keeps cases apart. Its result, the row as JSON, is written
-    once as a narrow table. Corrupt files are skipped. "Last" is by file path, then position.
+    runs in a session of its own that keeps cases apart. Where a column has types that do not merge,
+    files are scanned by groups of one schema. The result, the row as JSON, is written once as a
+    narrow table. Corrupt files are skipped. "Last" is by file path, then position.
     """
     wide = spark.newSession()
     wide.conf.set("spark.sql.caseSensitive", "true")
-    rows = (
-        wide.read.option("mergeSchema", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .option("ignoreCorruptFiles", "true")
-        .parquet(path)
-    )
-    if "meta_id" not in rows.columns:
+    try:
+        parts = [_scan(wide, [path], merge=True)]
+    except (PySparkException, Py4JJavaError) as error:
+        if "MERGE_SCHEMA" not in str(error):
+            raise
+        parts = [_scan(wide, paths) for paths in _same_schema(spark, path)]
+    parts = [p for p in parts if p is not None]
+    if not parts:
         return spark.createDataFrame([], "meta_id STRING, metadata STRING")
     target = run_dir(spark, "metadata-rows")
-    (
-        rows.filter(F.col("meta_id").isNotNull())
-        .select(
-            F.col("meta_id").cast("string").alias("meta_id"),
-            F.to_json(
-                F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {"ignoreNullFields": "false"}
-            ).alias("metadata"),
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.row_index").alias("row_index"),
-        )
-        .write.parquet(target)
-    )
+    for part in parts:
+        part.write.mode("append").parquet(target)
     narrow = spark.read.schema(
         "meta_id STRING, metadata STRING, file_path STRING, row_index BIGINT"
     ).parquet(target)
@@ -56,6 +50,58 @@ def read_parquet_metadata(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _scan(wide: SparkSession, paths: list[str], merge: bool = False) -> DataFrame | None:
+    """The rows of the files as JSON with their place; None when they have no key column."""
+    rows = (
+        wide.read.option("mergeSchema", str(merge).lower())
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .option("ignoreCorruptFiles", "true")
+        .parquet(*paths)
+    )
+    if "meta_id" not in rows.columns:
+        return None
+    return rows.filter(F.col("meta_id").isNotNull()).select(
+        F.col("meta_id").cast("string").alias("meta_id"),
+        F.to_json(
+            F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {"ignoreNullFields": "false"}
+        ).alias("metadata"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.row_index").alias("row_index"),
+    )
+
+
+def _same_schema(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files below a path grouped by their columns and types; unreadable files are left out.
+
+    The schemas are read in tasks; the driver sees the names of the files, as any scan's does.
+    """
+
+    def schemas(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+
+        for pdf in frames:
+            found = []
+            for content in pdf["content"]:
+                try:
+                    schema = pq.ParquetFile(io.BytesIO(bytes(content))).schema_arrow
+                    found.append(schema.remove_metadata().to_string())
+                except Exception:  # a broken file is left out, the others go on
+                    found.append(None)
+            yield pdf[["path"]].assign(columns=pd.Series(found, dtype=object, index=pdf.index))
+
+    read = binary_files(spark, path, "*.parquet").select("path", "content")
+    groups = (
+        read.mapInPandas(schemas, "path STRING, columns STRING")
+        .filter("columns is not null")
+        .groupBy("columns")
+        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+        .orderBy("columns")
+        .collect()
+    )
+    return [list(g["paths"]) for g in groups]
+
+
 def coalesce_case_pairs(df: DataFrame) -> DataFrame:
     """Merge columns whose names differ by case only; the first spelling keeps its name.
 
@@ -69,6 +115,17 @@ def coalesce_case_pairs(df: DataFrame) -> DataFrame:
     )
 
 
+def _finite(value):
+    """The value with numbers that JSON lacks as text, as the column functions write them."""
+    if isinstance(value, float) and not math.isfinite(value):
+        return "NaN" if math.isnan(value) else "Infinity" if value > 0 else "-Infinity"
+    if isinstance(value, dict):
+        return {k: _finite(v) for k, v in value.items()}
+    if isinstance(value, list):
+        return [_finite(v) for v in value]
+    return value
+
+
 def parse_parquet_members(members: DataFrame) -> DataFrame:
     """(path, member_path, position, meta_id, metadata) from Parquet members of archives.
 
@@ -95,7 +152,8 @@ def parse_parquet_members(members: DataFrame) -> DataFrame:
                                     for r in rows
                                 ],
                                 "metadata": [
-                                    json.dumps(r, default=str, ensure_ascii=False) for r in rows
+                                    json.dumps(_finite(r), default=str, ensure_ascii=False)
+                                    for r in rows
                                 ],
                             }
                         )

@@ -227,13 +227,15 @@ FROM (
         WHEN contains(cell, '.') AND regexp_full_match(cell,
             '{WS}*[+-]?([0-9]+(_[0-9]+)*\\.([0-9]+(_[0-9]+)*)?|\\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+(_[0-9]+)*)?{WS}*')
             THEN 'float'
-        WHEN NOT contains(cell, '.') AND n IS NOT NULL THEN 'int' ELSE 'text' END AS kind,
+        WHEN NOT contains(cell, '.') AND regexp_full_match(cell, '{WS}*[+-]?[0-9]+(_[0-9]+)*{WS}*')
+            THEN 'int' ELSE 'text' END AS kind,
         n
     FROM (SELECT cell, CASE WHEN regexp_full_match(cell, '{WS}*[+-]?[0-9]+(_[0-9]+)*{WS}*')
                  THEN TRY_CAST(regexp_replace(cell, '{WS}|_', '', 'g') AS BIGINT) END AS n
           FROM (SELECT unnest(string_split(text, ' ')) AS cell FROM documents
                 UNION ALL SELECT value::VARCHAR FROM events
-                UNION ALL SELECT event_id::VARCHAR FROM events))
+                UNION ALL SELECT event_id::VARCHAR FROM events
+                UNION ALL SELECT '-12345678901234567890' || event_id FROM events))
 ) GROUP BY kind""",
 )
 def _(t):
@@ -242,6 +244,8 @@ def _(t):
     cells = words.unionAll(events.select(F.col("value").cast("string"))).unionAll(
         events.select(F.col("event_id").cast("string"))
     )
+    beyond = F.concat(F.lit("-12345678901234567890"), F.col("event_id").cast("string"))
+    cells = cells.unionAll(events.select(beyond))
     return (
         cells.withColumns({"kind": S.cell_kind("cell"), "n": S.cell_int("cell")})
         .groupBy("kind")

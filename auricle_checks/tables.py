@@ -58,12 +58,12 @@ class Tables:
     @cached_property
     def transcripts(self) -> DataFrame:
         """The `pipeline_transcripts` table: one row per labelled document."""
-        return self._stored("pipeline_transcripts", lambda: self.derived_transcripts)
+        return self._stored("pipeline_transcripts", lambda: self.derived_transcripts, order="audio_file_id")
 
     @cached_property
     def classifications(self) -> DataFrame:
         """The `pipeline_classifications` table: one row per labelled document."""
-        return self._stored("pipeline_classifications", lambda: self.derived_classifications)
+        return self._stored("pipeline_classifications", lambda: self.derived_classifications, order="audio_file_id")
 
     @cached_property
     def as_of(self) -> Column:

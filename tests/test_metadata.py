@@ -34,7 +34,7 @@ def test_txt_rows(spark, tmp_path):
         "b": {"x": 'q "r"', "y, z": 9, "meta_id": "b"},
         "short": {"p": 1, "q": None, "meta_id": "short"},
         "long": {"p": 1, "null": ["2", "3"], "meta_id": "long"},
-        "big": {"p": "12345678901234567890", "meta_id": "big"},
+        "big": {"p": 12345678901234567890, "meta_id": "big"},
         "quote": {"p": "a\\b/c\n d", "meta_id": "quote"},
     }
 
@@ -92,3 +92,31 @@ def test_parquet_members(spark, tmp_path):
     )
     got = values(metadata.parse_parquet_members(members), "meta_id", "position", "metadata")
     assert got == [("1", 0, '{"meta_id": 1, "v": "a"}'), ("3", 2, '{"meta_id": 3, "v": "é"}')]
+
+
+def test_files_whose_types_do_not_merge(spark, tmp_path):
+    def save(name, **columns):
+        pq.write_table(pa.table(columns), tmp_path / name)
+
+    save("1.parquet", meta_id=["x", "y"], n=[1, 2])
+    save("2.parquet", meta_id=["y", "z"], n=["two", "three"])
+    save("3.parquet", other=[1])
+    (tmp_path / "4.parquet").write_bytes(b"broken")
+    found = metadata.read_parquet_metadata(spark, f"file:{tmp_path}").collect()
+    got = {r.meta_id: json.loads(r.metadata) for r in found}
+    assert got == {
+        "x": {"meta_id": "x", "n": 1},
+        "y": {"meta_id": "y", "n": "two"},
+        "z": {"meta_id": "z", "n": "three"},
+    }
+
+
+def test_numbers_that_json_lacks(spark, rows, tmp_path):
+    table = pa.table({"meta_id": ["a"], "f": [float("nan")], "g": [[float("inf"), 1.5]]})
+    pq.write_table(table, tmp_path / "m.parquet")
+    content = (tmp_path / "m.parquet").read_bytes()
+    members = rows("path STRING, member_path STRING, content BINARY", [("p", "m.parquet", content)])
+    (row,) = metadata.parse_parquet_members(members).collect()
+    assert json.loads(row.metadata) == {"meta_id": "a", "f": "NaN", "g": ["Infinity", 1.5]}
+    (scanned,) = metadata.read_parquet_metadata(spark, f"file:{tmp_path}").collect()
+    assert json.loads(scanned.metadata) == json.loads(row.metadata)

@@ -8,12 +8,12 @@ from auricle.functions import scalars as S
 
 
 def infer(cell):
-    """The inference rule in plain Python, the 64-bit bound included."""
+    """The inference rule in plain Python; the value is given within 64 bits."""
     try:
         if "." in cell:
             return "float", float(cell)
         number = int(cell)
-        return ("int", number) if -(2**63) <= number < 2**63 else ("text", None)
+        return "int", number if -(2**63) <= number < 2**63 else None
     except ValueError:
         return "text", None
 
