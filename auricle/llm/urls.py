@@ -199,8 +199,8 @@ def verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> Dat
     """(page_id, host, path, rule, verdict, listed) for every row of pages(page_id, url, …).
 
     Where no rule fits, the verdict is block if the host is listed and allow otherwise. Listed are
-    the hosts that have pages blocked by a rule and none allowed by one; the cascade is built over
-    all hosts that occur. Rows without a host are never listed. Equal rows are judged apart, extra
+    the hosts of which rules block more pages than they allow; the cascade is built over all hosts
+    that occur. Rows without a host are never listed. Equal rows are judged apart, extra
     columns are ignored, an empty table gives no rows.
     """
     rule, verdict = ruled(rules)
@@ -211,8 +211,7 @@ def verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> Dat
         .groupBy("host")
         .agg(
             (
-                F.coalesce(F.max(F.col("by_rule") == "block"), F.lit(False))
-                & ~F.coalesce(F.max(F.col("by_rule") == "allow"), F.lit(False))
+                F.count_if(F.col("by_rule") == "block") > F.count_if(F.col("by_rule") == "allow")
             ).alias("listed")
         )
     )
@@ -258,8 +257,8 @@ WITH cut AS (
   SELECT host, path, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS by_rule
   FROM pairs GROUP BY host, path
 ), hosts AS (
-  SELECT host, bool_or(by_rule = 'block') AND NOT bool_or(by_rule = 'allow') AS listed
-  FROM best WHERE host <> '' GROUP BY host
+  SELECT host, count(*) FILTER (by_rule = 'block') > count(*) FILTER (by_rule = 'allow') AS listed
+  FROM parts JOIN best USING (host, path) WHERE host <> '' GROUP BY host
 )
 SELECT p.page_id, p.host, p.path, b.rule,
   coalesce(b.by_rule, CASE WHEN h.listed THEN 'block' ELSE 'allow' END) AS verdict,
