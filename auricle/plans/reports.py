@@ -200,12 +200,21 @@ def verify_results(
 ) -> DataFrame:
     """Per batch (batch_id, expected): rows in each table, objects, and whether all agree.
 
-    Child rows are counted per file before the join, so the text never takes part.
+    Only files of the expected batches take part: child rows are bounded by their ids and counted
+    per file before the join, so the text never takes part.
     """
+    batches = expected.select(F.col("batch_id").alias("archive_source")).distinct()
+    files = files.join(batches, "archive_source", "left_semi")
     own = files.select("id", F.col("archive_source").alias("batch_id"), "original_filename")
-    texts = transcripts.groupBy(F.col("audio_file_id").alias("id")).agg(F.count("*").alias("t"))
-    flags = classifications.groupBy(F.col("audio_file_id").alias("id")).agg(
-        F.count("*").alias("c")
+    texts = (
+        filters.within_ids(transcripts, files)
+        .groupBy(F.col("audio_file_id").alias("id"))
+        .agg(F.count("*").alias("t"))
+    )
+    flags = (
+        filters.within_ids(classifications, files)
+        .groupBy(F.col("audio_file_id").alias("id"))
+        .agg(F.count("*").alias("c"))
     )
     objects = (
         joins.keys_of_files(listing, files)
