@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from auricle.plans import sync
+from auricle.session import run_dir
 from auricle_checks.aggregate_checks import CANDIDATES, READY, SUMMARY_SQL
 from auricle_checks.registry import check
 
@@ -33,16 +34,16 @@ SYNC_SUMMARY = (
 )
 
 
-def plan(t):
+def plan(t, limit=LIMIT, files=None, review_rows=None, creators=None):
     return sync.plan_sync(
-        t.audio_files,
+        t.audio_files if files is None else files,
         t.transcripts,
         t.classifications,
-        t.review_rows,
-        t.creators,
+        t.review_rows if review_rows is None else review_rows,
+        t.creators if creators is None else creators,
         t.as_of,
         THRESHOLD,
-        LIMIT,
+        limit,
     )
 
 
@@ -64,6 +65,60 @@ def _(t):
     return plan(t).outcomes.select("rk", "audio_file_id", "meta_id", "outcome")
 
 
+@check(
+    "P3_limited_outcomes",
+    OUTCOMES.replace(f"<= {LIMIT}", "<= 5")
+    + "SELECT rk::INT AS rk, audio_file_id, meta_id, outcome FROM outcomes",
+)
+def _(t):
+    return plan(t, 5).outcomes.select("rk", "audio_file_id", "meta_id", "outcome")
+
+
+@check(
+    "P3_invalid_candidates",
+    CANDIDATES
+    + f""", ranked AS (
+    SELECT *, row_number() OVER (ORDER BY label_1_pred DESC, audio_file_id) AS rk
+    FROM candidates WHERE label_1_pred >= {THRESHOLD} QUALIFY rk <= {LIMIT}
+), firsts AS (
+    SELECT meta_id, min(rk) FILTER (audio_file_id % 2 = 1) AS first_valid FROM ranked GROUP BY 1
+)
+SELECT rk::INT AS rk, audio_file_id,
+       CASE WHEN meta_id IN (SELECT meta_id FROM review_rows) THEN 'skipped'
+            WHEN first_valid IS NULL OR rk < first_valid THEN 'error'
+            WHEN rk = first_valid THEN 'synced' ELSE 'skipped' END AS outcome
+FROM ranked JOIN firsts USING (meta_id)""",
+)
+def _(t):
+    """Files with an even id have a country that the review table cannot hold."""
+    long = F.when(F.col("id") % 2 == 0, F.lit("x" * 51)).otherwise(F.col("parquet_country"))
+    files = t.audio_files.withColumn("parquet_country", long)
+    return plan(t, files=files).outcomes.select("rk", "audio_file_id", "outcome")
+
+
+@check(
+    "P3_two_runs",
+    OUTCOMES.replace(f"<= {LIMIT}", "<= 10")
+    + """SELECT DISTINCT audio_file_id AS id, meta_id, outcome = 'synced' AS added
+FROM outcomes WHERE outcome <> 'error'""",
+)
+def _(t):
+    """Two runs of five take what one run of ten would."""
+    root = run_dir(t.spark, "sync-runs")
+    tables = t.audio_files, t.review_rows, t.creators
+    outcomes = []
+    for run in ("1", "2"):
+        written = sync.earlier_runs(t.spark, root)
+        files, review_rows, creators = sync.after_runs(*tables, written)
+        made = plan(t, 5, files, review_rows, creators)
+        sync.write_sync(made, root, run)
+        outcomes.append(made.outcomes.select("audio_file_id", "meta_id", "outcome"))
+    both = outcomes[0].unionByName(outcomes[1]).where("outcome <> 'error'")
+    return both.select(
+        F.col("audio_file_id").alias("id"), "meta_id", (F.col("outcome") == "synced").alias("added")
+    ).distinct()
+
+
 NEW_CREATORS = """, fresh AS (
     SELECT author_uniqueid, min(rk) AS rk FROM outcomes
     WHERE outcome = 'synced' AND author_uniqueid NOT IN (SELECT author_uniqueid FROM creators)
