@@ -243,6 +243,24 @@ def _(t):
     return _tables(t).classifications.select("id", "audio_file_id", "flagged", "flag_category")
 
 
+@check(
+    "P2_result_transcripts",
+    SCORED
+    + NUMBERED
+    + """SELECT k AS id, (SELECT max(id) FROM audio_files) + k AS audio_file_id,
+       sha256(heard_text) AS digest, lang AS language, round(confidence, 9) AS confidence
+FROM numbered""",
+)
+def _(t):
+    return _tables(t).transcripts.select(
+        "id",
+        "audio_file_id",
+        F.sha2(F.col("transcript_text").cast("binary"), 256).alias("digest"),
+        "language",
+        F.round("confidence", 9).alias("confidence"),
+    )
+
+
 @check(
     "P2_batch_progress",
     "SELECT source AS batch_id, count(*) AS processed FROM documents GROUP BY source",

@@ -1,5 +1,8 @@
 """Constraint checks and delete effects."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auricle.functions import scalars as S
@@ -291,3 +294,84 @@ def _(t):
         for name, frame in zip(names, left)
     ]
     return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+# Rows of the declared tables, made of documents so that every kind of rule is broken by some.
+BROKEN = """
+WITH rows_ AS (
+    SELECT 'm' || doc_id AS meta_id, doc_id % 15 AS month, doc_id % 40 AS day,
+           CASE WHEN doc_id % 7 > 0 THEN lang END AS transcript,
+           CASE WHEN doc_id % 4 = 0 THEN 'lost' ELSE 'queued' END AS queue_status,
+           repeat('x', (doc_id % 60)::INT) AS country
+    FROM documents
+)
+SELECT meta_id, 'range:month' AS rule FROM rows_ WHERE month NOT BETWEEN 1 AND 12
+UNION ALL SELECT meta_id, 'range:day' FROM rows_ WHERE day NOT BETWEEN 1 AND 31
+UNION ALL SELECT meta_id, 'required:transcript' FROM rows_ WHERE transcript IS NULL
+UNION ALL SELECT meta_id, 'domain:queue_status' FROM rows_ WHERE queue_status = 'lost'
+UNION ALL SELECT meta_id, 'length:country' FROM rows_ WHERE length(country) > 50
+"""
+
+
+@check("DQ_broken_review_rows", BROKEN, whole=True)
+def _(t):
+    rows = t.raw("documents").select(
+        F.concat(F.lit("m"), "doc_id").alias("meta_id"),
+        (F.col("doc_id") % 15).alias("month"),
+        (F.col("doc_id") % 40).alias("day"),
+        F.when(F.col("doc_id") % 7 > 0, F.col("lang")).alias("transcript"),
+        F.when(F.col("doc_id") % 4 == 0, "lost").otherwise("queued").alias("queue_status"),
+        F.expr("repeat('x', cast(doc_id % 60 as int))").alias("country"),
+    )
+    return Q.check_table(rows, "transcripts")
+
+
+@check(
+    "DQ_repeated_users",
+    """SELECT 'email' AS key, 'e' || custkey AS value, copies FROM (
+    SELECT c_custkey % 90 AS custkey, count(*) AS copies FROM customer GROUP BY 1) WHERE copies > 1
+UNION ALL SELECT 'username', 'n' || c_nationkey, count(*) FROM customer GROUP BY c_nationkey
+HAVING count(*) > 1""",
+    whole=True,
+)
+def _(t):
+    users = t.raw("customer").select(
+        F.col("c_custkey").alias("user_id"),
+        F.concat(F.lit("e"), F.col("c_custkey") % 90).alias("email"),
+        F.concat(F.lit("n"), "c_nationkey").alias("username"),
+    )
+    parts = [
+        found.select(F.lit(c).alias("key"), F.col(c).cast("string").alias("value"), "copies")
+        for found in Q.check_uniques(users, "users")
+        for c in found.columns
+        if c != "copies"
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@check(
+    "DQ_orphans_of_declared_keys",
+    """SELECT 'queue_assignments.user_id' AS relation, count(*) AS orphans FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 5 > 0)
+UNION ALL SELECT 'queue_assignments.meta_id', count(*) FROM orders
+WHERE o_orderkey NOT IN (SELECT doc_id FROM documents)""",
+    whole=True,
+)
+def _(t):
+    rows = t.raw("orders").select(
+        F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("meta_id")
+    )
+    parents = {
+        "users": t.raw("customer").where("c_custkey % 5 > 0").select(
+            F.col("c_custkey").alias("user_id")
+        ),
+        "transcripts": t.raw("documents").select(F.col("doc_id").alias("meta_id")),
+    }
+    parts = [
+        Q.orphans(rows, column, parents[parent], key).agg(
+            F.lit(f"{child}.{column}").alias("relation"), F.count("*").alias("orphans")
+        )
+        for child, column, parent, key, _ in Q.FOREIGN_KEYS
+        if child == "queue_assignments" and parent in parents
+    ]
+    return reduce(DataFrame.unionByName, parts)
