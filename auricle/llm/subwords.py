@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -12,8 +13,9 @@ from auricle.llm.common import per_worker
 #: A blank between two characters that are not white space starts a new pre-token of the byte-level
 #: BPE pattern, so a text may be cut there and its parts encoded apart. U+180E was white space in
 #: old Unicode versions, so no cut is made beside it.
-_SAFE = re.compile(r"(?<=[^\s᠎]) (?=[^\s᠎])")
-_ODD = re.compile(r"[\s᠎] |^ | [\s᠎]| $")
+_SAFE = re.compile(r"(?<=[^\s\u180e]) (?=[^\s\u180e])")
+_BLANK = re.compile(r"[\s\u180e]")
+_MARKS = ",."
 LONGEST = 64
 
 
@@ -21,60 +23,85 @@ class Chunked:
     """Encodes whole texts exactly as the tokenizer does, chunk by chunk.
 
     A chunk is a blank and what follows up to the next safe cut. Ids of chunks up to LONGEST
-    characters are kept in two generations of at most `room` entries each; the older one is dropped
-    when the younger is full, so memory is bounded on any corpus.
+    characters are kept, by what follows the blank, in two generations of at most `room` entries
+    each; the older one is dropped when the younger is full, so memory is bounded on any corpus.
     """
 
-    def __init__(self, path: str, room: int = 300_000):
+    def __init__(self, path: str, room: int = 500_000):
+        # one thread: the tasks of an executor share its cores already
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._encode = Tokenizer.from_file(path)
         self._encode.encode_special_tokens = True
+        self._marks = dict(zip(_MARKS, self._batch(list(_MARKS))))
         self._room = room
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> bytes:
-        ids = self._encode.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+    def _batch(self, texts: list[str]) -> list[bytes]:
+        made = self._encode.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(one.ids, dtype="<u4").tobytes() for one in made]
 
-    def _whole(self, chunk: str) -> bytes:
-        """Ids of a chunk that is in neither generation's first look."""
-        if len(chunk) > LONGEST:
-            return self._ids(chunk)
-        found = self._old.get(chunk)
-        if found is None:
-            stem = chunk[:-1]
-            # a letter before a final mark ends a pre-token, so both sides are encoded apart
-            if chunk[-1:] in (",", ".") and stem[-1:].isalpha():
-                found = self._chunk(stem) + self._chunk(chunk[-1])
+    def _learn(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of a blank and each part, for parts that the younger generation lacks."""
+        out: dict[str, bytes] = {}
+        new: list[str] = []
+        marked: list[str] = []
+        for part in dict.fromkeys(parts):
+            ids = self._old.get(part)
+            if ids is not None:
+                out[part] = ids
+            elif part[-1] in _MARKS and part[-2:-1].isalpha():
+                # a letter before a final mark ends a pre-token, so both sides are encoded apart
+                marked.append(part)
+                stem = part[:-1]
+                known = self._young.get(stem) or self._old.get(stem)
+                if known is None:
+                    new.append(stem)
+                else:
+                    out[stem] = known
             else:
-                found = self._ids(chunk)
-        if len(self._young) >= self._room:
+                new.append(part)
+        new = list(dict.fromkeys(new))
+        out.update(zip(new, self._batch([" " + part for part in new])))
+        for part in marked:
+            out[part] = out[part[:-1]] + self._marks[part[-1]]
+        if len(self._young) + len(out) > self._room:
             self._old, self._young = self._young, {}
-        self._young[chunk] = found
-        return found
-
-    def _chunk(self, chunk: str) -> bytes:
-        found = self._young.get(chunk)
-        return self._whole(chunk) if found is None else found
+        self._young.update((p, ids) for p, ids in out.items() if len(p) <= LONGEST)
+        return out
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of the text, as bytes."""
         if not text:
             return b""
-        if _ODD.search(text):
-            first, *rest = _SAFE.split(text)
-        else:
-            first, *rest = text.split(" ")
-        get, whole = self._young.get, self._whole
-        out = [self._chunk(first)] if first else []
-        for part in rest:
-            chunk = " " + part
-            found = get(chunk)
-            if found is None:
-                found = whole(chunk)
-                get = self._young.get
-            out.append(found)
-        return b"".join(out)
+        parts = text.split(" ")
+        found = self._found(parts)
+        if found is None:
+            # somewhere white space meets white space: cut with care
+            parts = _SAFE.split(text)
+            found = self._found(parts, careful=True)
+        return b"".join(found)
+
+    def _found(self, parts: list[str], careful: bool = False) -> list[bytes] | None:
+        """Ids of the parts of one text, the first without a blank before it; None if a cut was not
+        safe. Parts that begin or end with white space are kept only where the cut is sure."""
+        first, rest = parts[0], parts[1:]
+        found = [*map(self._young.get, rest)]
+        if None in found:
+            lost = [k for k, ids in enumerate(found) if ids is None]
+            if not careful and any(map(_unsafe, (rest[k] for k in lost))):
+                return None
+            learned = self._learn([rest[k] for k in lost])
+            for k in lost:
+                found[k] = learned[rest[k]]
+        if rest and not careful and _unsafe(first):
+            return None
+        return [*self._batch([first]), *found]
+
+
+def _unsafe(part: str) -> bool:
+    """Whether a part is empty, or white space stands at either end of it."""
+    return not part or bool(_BLANK.match(part[0]) or _BLANK.match(part[-1]))
 
 
 def encoder(path: str) -> Chunked:
