@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from types import ModuleType
 from typing import Any
 
@@ -28,6 +30,26 @@ def stage(df: DataFrame, name: str = "llm") -> DataFrame:
     return write_staged(df, name)[0]
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most so many rows in an Arrow batch for what runs inside: for long texts, the JVM and the
+    Python worker each hold whole batches of them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of frames that nothing refers to any more, which it does
+    once the driver has collected its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove(spark: SparkSession, paths: Iterable[str]) -> None:
     """Deletes staged tables that no later step reads."""
     for path in paths:

@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from auricle.llm.common import components, shuffle_width, stage
+from auricle.llm.common import arrow_rows, components, release, shuffle_width, stage
 
 SHINGLE = 5
 PERMUTATIONS = 128
 SEED = 3
 AT_ONCE = 512
+ROWS_AT_ONCE = 500
 #: Bands of so many permutations; texts of similarity 0.8 share one with probability 1 - 5e-8.
 ROWS = 4
 SIMILAR = 0.8
@@ -157,7 +158,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
     order = [F.desc_nulls_last("doc_id"), F.xxhash64("text")]
     ranged = narrow.repartitionByRange(shuffle_width(spark), *order).sortWithinPartitions(*order)
-    found = stage(ranged.mapInArrow(_neighbours, KINDS + _EDGE), "fingerprints")
+    with arrow_rows(spark, ROWS_AT_ONCE):
+        found = stage(ranged.mapInArrow(_neighbours, KINDS + _EDGE), "fingerprints")
+    del ranged
+    release(spark)  # the shuffled texts are not needed again
     edges = found.where("part is not null")
     parts = sorted(r["part"] for r in edges.select("part").collect())  # one for each task at most
     follows = spark.createDataFrame(
@@ -234,9 +238,9 @@ def classes(prints: DataFrame, docs: DataFrame, threshold: float = SIMILAR) -> D
     Fingerprints with a band in common are candidates; candidates whose texts have the Jaccard
     similarity are linked, and class_id is the smallest doc_id reachable. Equal fingerprints are one
     node. Buckets of up to PAIRED nodes are compared pair by pair. In a larger one each node is
-    compared with the least one: those alike are connected by it, and only the others are compared
-    with all nodes that share a second band with them, so a group of near copies costs a pass, and
-    no link of the bucket is lost. Fingerprints whose rows all have a null id are left out.
+    compared with the least one, which connects those alike in one pass; only nodes that are not
+    connected with it by then are compared with the nodes of other components that share a second
+    band with them, so no connection is lost. Fingerprints whose rows all have a null id are left out.
     """
     nodes = stage(
         prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("node")),
@@ -261,24 +265,31 @@ def classes(prints: DataFrame, docs: DataFrame, threshold: float = SIMILAR) -> D
     sets = stage(_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "sets")
     linked = stage(_verified(candidates, sets, threshold).select("a", "b"), "links")
     starred = stage(_verified(stars, sets, threshold).select("a", "b"), "links")
-    apart = many.where("node > least").join(
-        starred.select(F.col("a").alias("least"), F.col("b").alias("node")), ["least", "node"], "left_anti"
+    # what is connected by now needs no further look: members of a crowded bucket whose component is
+    # not the least one's are compared with the members of other components that share a second band
+    known = stage(components(linked.union(starred)), "roots")
+    members = stage(
+        many.select("bucket", "node", "least")
+        .join(known, "node", "left")
+        .withColumn("root", F.coalesce("root", "node")),
+        "members",
     )
+    heads = members.where("node = least").select("bucket", F.col("root").alias("head"))
+    apart = members.join(heads, "bucket").where("root <> head").select("bucket", "node")
     second = (
-        many.select("bucket", "node")
-        .join(apart.select("bucket").distinct(), "bucket", "left_semi")
+        members.join(apart.select("bucket").distinct(), "bucket", "left_semi")
+        .join(apart.withColumn("odd", F.lit(True)), ["bucket", "node"], "left")
         .join(banded, "node")
-        .select("bucket", "node", F.explode("bands").alias("other"))
+        .select("bucket", "node", "root", "odd", F.explode("bands").alias("other"))
         .where("other <> bucket")
-        .select(F.xxhash64("bucket", "other").alias("bucket"), F.col("bucket").alias("first"), "node")
+        .withColumn("bucket", F.xxhash64("bucket", "other"))
     )
-    odd = apart.select(F.col("bucket").alias("first"), "node").withColumn("odd", F.lit(True))
-    second = second.join(odd, ["first", "node"], "left")
+    ours = second.where("odd").select("bucket", F.col("node").alias("x"), F.col("root").alias("rx"))
+    theirs = second.select("bucket", F.col("node").alias("y"), F.col("root").alias("ry"))
     rest = (
-        second.where("odd").select("bucket", F.col("node").alias("a"))
-        .join(second.select("bucket", F.col("node").alias("b")), "bucket")
-        .where("a <> b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        ours.join(theirs, "bucket")
+        .where("rx <> ry")
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
     )
     last = _verified(rest, sets, threshold).select("a", "b")
