@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from zlib import crc32
 
 import numpy as np
@@ -11,9 +12,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from auricle.llm.common import arrow_rows, components, release, shuffle_width, stage
+from auricle.llm.common import (
+    arrow_rows,
+    components,
+    release,
+    remove,
+    shuffle_width,
+    stage,
+    write_staged,
+)
 
 SHINGLE = 5
 PERMUTATIONS = 128
@@ -25,6 +33,8 @@ ROWS = 4
 SIMILAR = 0.8
 #: Buckets up to this size are compared pair by pair.
 PAIRED = 64
+#: Ids of candidate texts that are sent to the tasks at once.
+WANTED_AT_ONCE = 1 << 20
 
 _RNG = np.random.default_rng(SEED)
 #: Multiply-add-shift hashing: odd factors and offsets of 64 bits, of which the high 32 count.
@@ -220,16 +230,40 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 def _buckets(members: DataFrame) -> DataFrame:
     """members(bucket, node) that are not alone in their bucket, with the bucket's size and least."""
-    bucket = Window.partitionBy("bucket")
-    return members.withColumns(
-        {"size": F.count("*").over(bucket), "least": F.min("node").over(bucket)}
-    ).where("size > 1")
+    sizes = (
+        members.groupBy("bucket")
+        .agg(F.count("*").alias("size"), F.min("node").alias("least"))
+        .where("size > 1")
+    )
+    return members.join(sizes, "bucket").select("bucket", "node", "size", "least")
+
+
+def _across(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b): nodes of left and right(bucket, node, root) in one bucket, of different roots."""
+    ours = left.select("bucket", F.col("node").alias("x"), F.col("root").alias("rx"))
+    theirs = right.select("bucket", F.col("node").alias("y"), F.col("root").alias("ry"))
+    return (
+        ours.join(theirs, "bucket")
+        .where("rx <> ry")
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    )
 
 
-def _pairs(members: DataFrame) -> DataFrame:
-    left = members.select("bucket", F.col("node").alias("a"))
-    right = members.select("bucket", F.col("node").alias("b"))
-    return left.join(right, "bucket").where("a < b").select("a", "b").distinct()
+def _wanted_sets(docs: DataFrame, wanted: DataFrame) -> list[tuple[DataFrame, str]]:
+    """The shingle sets of the texts of wanted(doc_id), staged. The ids travel to the texts, in
+    blocks of about WANTED_AT_ONCE, so the texts are read where they are and never shuffled."""
+    blocks = max(1, -(-wanted.count() // WANTED_AT_ONCE))
+    block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks))
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return [
+        write_staged(
+            _sets(narrow.join(F.broadcast(wanted.where(block == k)), "doc_id", "left_semi"))
+            .groupBy("doc_id")
+            .agg(F.min("shingles").alias("shingles")),
+            "sets",
+        )
+        for k in range(blocks)
+    ]
 
 
 def classes(prints: DataFrame, docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
@@ -237,63 +271,67 @@ def classes(prints: DataFrame, docs: DataFrame, threshold: float = SIMILAR) -> D
 
     Fingerprints with a band in common are candidates; candidates whose texts have the Jaccard
     similarity are linked, and class_id is the smallest doc_id reachable. Equal fingerprints are one
-    node. Buckets of up to PAIRED nodes are compared pair by pair. In a larger one each node is
-    compared with the least one, which connects those alike in one pass; only nodes that are not
-    connected with it by then are compared with the nodes of other components that share a second
-    band with them, so no connection is lost. Fingerprints whose rows all have a null id are left out.
+    node. Each node of a bucket is compared with the least one, which connects those alike in one
+    pass; only nodes that are not connected by then are compared further, in buckets of up to PAIRED
+    nodes pair by pair, in larger ones those not connected with the least one with the nodes of other
+    components that share a second band with them, so no connection is lost. Fingerprints whose rows
+    all have a null id are left out. Staged tables are deleted once read.
     """
+    spark = prints.sparkSession
     nodes = stage(
         prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("node")),
         "nodes",
     )
+    release(spark)
     width = 2 * ROWS
     bands = F.transform(
         F.sequence(F.lit(0), F.lit(PERMUTATIONS // ROWS - 1)),
         lambda k: F.xxhash64(k, F.substring("fingerprint", k * width + 1, F.lit(width))),
     )
     banded = nodes.select("node", bands.alias("bands"))
-    met = stage(
+    met, met_path = write_staged(
         _buckets(banded.select(F.explode("bands").alias("bucket"), "node")), "buckets"
     )
-    few, many = met.where(F.col("size") <= PAIRED), met.where(F.col("size") > PAIRED)
-    candidates = stage(_pairs(few), "pairs")
-    stars = stage(
-        many.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(),
+    release(spark)
+    stars, stars_path = write_staged(
+        met.where("node > least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(),
         "stars",
     )
-    wanted = candidates.union(stars).select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stage(_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "sets")
-    linked = stage(_verified(candidates, sets, threshold).select("a", "b"), "links")
-    starred = stage(_verified(stars, sets, threshold).select("a", "b"), "links")
-    # what is connected by now needs no further look: members of a crowded bucket whose component is
-    # not the least one's are compared with the members of other components that share a second band
-    known = stage(components(linked.union(starred)), "roots")
-    members = stage(
-        many.select("bucket", "node", "least")
-        .join(known, "node", "left")
-        .withColumn("root", F.coalesce("root", "node")),
-        "members",
+    wanted, wanted_path = write_staged(met.select(F.col("node").alias("doc_id")).distinct(), "wanted")
+    with arrow_rows(spark, ROWS_AT_ONCE):
+        parts = _wanted_sets(docs, wanted)
+        sets = reduce(DataFrame.union, [part for part, _ in parts])
+        starred, starred_path = write_staged(_verified(stars, sets, threshold).select("a", "b"), "links")
+    remove(spark, [stars_path, wanted_path])
+    release(spark)
+    # what is connected by now needs no further look
+    known, known_path = write_staged(components(starred), "roots")
+    members, members_path = write_staged(
+        met.join(known, "node", "left").withColumn("root", F.coalesce("root", "node")), "members"
     )
-    heads = members.where("node = least").select("bucket", F.col("root").alias("head"))
-    apart = members.join(heads, "bucket").where("root <> head").select("bucket", "node")
+    remove(spark, [met_path, known_path])
+    few, many = members.where(F.col("size") <= PAIRED), members.where(F.col("size") > PAIRED)
+    heads = many.where("node = least").select("bucket", F.col("root").alias("head"))
+    apart = many.join(heads, "bucket").where("root <> head").select("bucket", "node")
     second = (
-        members.join(apart.select("bucket").distinct(), "bucket", "left_semi")
+        many.select("bucket", "node", "root")
+        .join(apart.select("bucket").distinct(), "bucket", "left_semi")
         .join(apart.withColumn("odd", F.lit(True)), ["bucket", "node"], "left")
         .join(banded, "node")
         .select("bucket", "node", "root", "odd", F.explode("bands").alias("other"))
         .where("other <> bucket")
         .withColumn("bucket", F.xxhash64("bucket", "other"))
     )
-    ours = second.where("odd").select("bucket", F.col("node").alias("x"), F.col("root").alias("rx"))
-    theirs = second.select("bucket", F.col("node").alias("y"), F.col("root").alias("ry"))
-    rest = (
-        ours.join(theirs, "bucket")
-        .where("rx <> ry")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+    rest, rest_path = write_staged(
+        _across(few, few).union(_across(second.where("odd"), second)).distinct(), "pairs"
     )
-    last = _verified(rest, sets, threshold).select("a", "b")
-    roots = components(linked.union(starred).union(last))
+    remove(spark, [members_path])
+    with arrow_rows(spark, ROWS_AT_ONCE):
+        last, last_path = write_staged(_verified(rest, sets, threshold).select("a", "b"), "links")
+    remove(spark, [rest_path, *(path for _, path in parts)])
+    release(spark)
+    roots = components(starred.union(last))
+    remove(spark, [starred_path, last_path])
     return nodes.join(roots, "node", "left").select(
         "fingerprint", F.coalesce("root", "node").alias("class_id")
     )
@@ -304,6 +342,6 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
 
     A row with a null id has the class of an equal fingerprint that has an id, else null.
     """
-    found = stage(fingerprints(docs), "fingerprints")
+    found = fingerprints(docs)
     grouped = classes(found.select("doc_id", "fingerprint"), docs, threshold)
     return found.join(grouped, "fingerprint", "left").select(*found.columns, "class_id")

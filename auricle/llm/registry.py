@@ -48,8 +48,8 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MinHash fingerprints of every document and of its edited text."""
-    found = minhash.fingerprints(table(spark, sf_dir, "documents"))
+    """MinHash fingerprints of every document and of its edited text, and its near-duplicate class."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id",
         "n_chars",
@@ -58,6 +58,7 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"),
         "near_edited",
         "near_next",
+        "class_id",
     )
 
 

@@ -4,6 +4,7 @@ import random
 import numpy as np
 
 from auricle.llm import minhash
+from auricle.llm.registry import QUERIES
 from tests.llm.conftest import ODD, ODD_IDS, ids
 
 
@@ -103,3 +104,34 @@ def test_classes_of_odd_rows(odd, empty):
     part = {r["doc_id"]: r["class_id"] for r in found.collect()}
     assert part[1] == part[2] == 1 and part[3] == part[4] == part[5] == 3 and part[None] is None
     assert minhash.near_duplicates(empty).collect() == []
+
+
+def test_query_gives_the_classes_of_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    sets = {k: shingles(t or "") for k, t in texts.items()}
+    holders, root = {}, {k: k for k in sets}
+    for k, held in sets.items():
+        for shingle in held:
+            holders.setdefault(shingle, []).append(k)
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    met = {(a, b) for ks in holders.values() for a in ks for b in ks if a < b}
+    for a, b in met:
+        if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+            p, q = find(a), find(b)
+            root[max(p, q)] = min(p, q)
+    got = {r["doc_id"]: r["class_id"] for r in QUERIES["op3_fingerprints"](spark, folder).collect()}
+    assert got == {k: find(k) for k in texts}
+    assert len(set(got.values())) < len(got)
+
+
+def test_classes_with_ids_sent_in_blocks(docs, monkeypatch):
+    monkeypatch.setattr(minhash, "WANTED_AT_ONCE", 3)
+    rows = [(k, " ".join(f"w{k // 2}x{j}" for j in range(60)) + " end" * (k % 2), None) for k in range(24)]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs(rows)).collect()}
+    assert got == {k: k - k % 2 for k in range(24)}
