@@ -114,3 +114,55 @@ def test_decontamination_of_odd_rows(odd, empty, benchmark):
     assert kept.columns == odd.columns and kept.count() == len(ODD) - 2
     assert decontamination.leaks(empty, items).collect() == []
     assert decontamination.leaks(odd, benchmark([])).collect() == []
+
+
+def brute_force(rows, items):
+    """The leaks as defined, by trying every passage with every item."""
+    out = set()
+    for doc_id, text, _ in rows:
+        ids = decontamination.word_ids(text)
+        for item_id, item, _ in items:
+            wanted = decontamination.word_ids(item)
+            n, answer = len(wanted), decontamination.answer_of(wanted)
+            for row in range(max(1, -(-len(ids) // 16) - 1)):
+                region = ids[max(0, row * 16 - n) : (row + 2) * 16 + n]
+                share = decontamination.common_length(wanted, region) / n
+                if share >= 0.8 or share >= 0.6 and decontamination._holds(region, answer):
+                    out.add((doc_id, item_id))
+    return out
+
+
+def test_short_items_and_common_words_as_brute_force(docs, benchmark):
+    """Items of 5 to 15 words and longer ones of common words, whole or with 0.6 to 0.8 of the words."""
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    weights = [1 / (k + 1) for k in range(3000)]
+    prose = lambda n, top=3000: rng.choices(vocabulary[:top], weights[:top], k=n)
+    parts = [prose(5 + k % 11) for k in range(22)] + [prose(16 + k, 150) for k in range(8)]
+    parts += [prose(5 + k, 30) for k in range(0, 12, 3)]
+    items = [(k, " ".join(words), "s") for k, words in enumerate(parts)]
+    rows = []
+    for k in range(3 * len(parts)):
+        words = list(parts[k // 3])
+        free = len(words) - len(decontamination.answer_of(np.array(words)))
+        if k % 3:
+            lost = min(free, int(len(words) * (0.4 if k % 3 == 1 else 0.2)))
+            for at in rng.sample(range(free), lost):
+                words[at] = "other"
+        text = prose(rng.randint(0, 90)) + words + prose(rng.randint(0, 90))
+        rows.append((k, " ".join(text), "en"))
+    want = brute_force(rows, items)
+    assert {(k, k // 3) for k in range(len(rows))} <= want
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs(rows), benchmark(items)).collect()}
+    assert got == want
+
+
+def test_leaks_of_the_test_table_as_brute_force(spark):
+    items = [(r["item_id"], r["text"], None) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    rows = [
+        (r["doc_id"], r["text"], None)
+        for r in spark.read.parquet(f"{SF}/documents.parquet").limit(120).collect()
+    ]
+    got = {(r["doc_id"], r["item_id"]) for r in QUERIES["op5_decontamination"](spark, SF).collect()}
+    wanted = {k for k, _, _ in rows}
+    assert {pair for pair in got if pair[0] in wanted} == brute_force(rows, items)
