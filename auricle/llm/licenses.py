@@ -89,6 +89,8 @@ ROUNDS, RATE, PENALTY = 200, 2.0, 1e-4
 VARIANTS = 24
 #: A prediction needs this calibrated probability, and this share of a template's words in order.
 ACCEPT, CONFIRM = 0.6, 0.7
+#: Notices inside a paragraph are looked for in windows of so many times a template's words.
+WINDOW = 1.5
 _BLANKS = bytes(32 if chr(k) in string.punctuation or k < 32 else k for k in range(256))
 
 
@@ -205,11 +207,56 @@ def fit(docs: DataFrame, seed: int = 4) -> Classifier:
     return model
 
 
+def _pair_codes(ids: np.ndarray) -> np.ndarray:
+    return ids[:-1].astype(np.uint64) << np.uint64(32) | ids[1:].astype(np.uint64)
+
+
 class Templates:
-    """Compares a paragraph with the templates of a family."""
+    """Compares a paragraph with the templates of a family, and finds them inside long ones."""
 
     def __init__(self) -> None:
         self._ids = {f: [words_of(t.encode()) for t in ts] for f, ts in TEMPLATES.items()}
+        every = [ids for ts in self._ids.values() for ids in ts]
+        codes = [np.unique(_pair_codes(ids)) for ids in every]
+        self._known = np.unique(np.concatenate(codes))
+        self._of_code: dict[int, list[int]] = {}
+        for k, part in enumerate(codes):
+            for code in part.tolist():
+                self._of_code.setdefault(code, []).append(k)
+        self._pairs = [len(part) for part in codes]
+        self._reach = [int(WINDOW * len(ids)) for ids in every]
+
+    def regions(self, ids: np.ndarray) -> list[tuple[int, int]]:
+        """(begin, end) of the windows that hold enough word pairs of a template, best ones first,
+        each from the first of its template's pairs to the last."""
+        if len(ids) < 2:
+            return []
+        codes = _pair_codes(ids)
+        at = np.searchsorted(self._known, codes)
+        hits = np.flatnonzero(self._known[np.minimum(at, len(self._known) - 1)] == codes)
+        places: dict[int, list[tuple[int, int]]] = {}
+        for place, code in zip(hits.tolist(), codes[hits].tolist()):
+            for k in self._of_code[code]:
+                places.setdefault(k, []).append((place, code))
+        found = set()
+        for k, met in places.items():
+            need = CONFIRM * self._pairs[k]
+            if len(met) < need:
+                continue
+            inside: dict[int, int] = {}
+            low = 0
+            for place, code in met:
+                inside[code] = inside.get(code, 0) + 1
+                # out of reach, or held again further on
+                while place + 2 - met[low][0] > self._reach[k] or inside[met[low][1]] > 1:
+                    inside[met[low][1]] -= 1
+                    if not inside[met[low][1]]:
+                        del inside[met[low][1]]
+                    low += 1
+                if len(inside) >= need:
+                    found.add((len(inside) / self._pairs[k], len(inside), met[low][0], place + 2))
+        best = sorted(found, key=lambda r: (-r[0], -r[1], r[2], r[3]))
+        return list(dict.fromkeys((begin, end) for _, _, begin, end in best))
 
     def share(self, paragraph: np.ndarray, family: str) -> float:
         """Largest share of a template's word pairs that the paragraph holds."""
@@ -221,12 +268,56 @@ class Templates:
         return max(shares)
 
 
+def notices(
+    lines: list[np.ndarray], model: Classifier, templates: Templates
+) -> list[tuple[int, str, float, float]]:
+    """(line, family, probability, similarity) of each notice in the word ids of a text's lines.
+
+    Each line is classified by itself. Lines up to a blank one are also joined, and windows that hold
+    enough of a template are classified, best ones first; each word belongs to one notice at most.
+    Those that begin in a line that has the family already are not reported again.
+    """
+    found: dict[tuple[int, str], tuple[float, float]] = {}
+
+    def add(first: list[int], paragraphs: list[np.ndarray]) -> list[bool]:
+        p = model.probabilities(paragraphs)
+        best = p.argmax(axis=1)
+        taken = [False] * len(paragraphs)
+        for k in np.flatnonzero((best < len(TEMPLATES)) & (p.max(axis=1) >= ACCEPT)).tolist():
+            family = FAMILIES[best[k]]
+            alike = templates.share(paragraphs[k], family)
+            if alike >= CONFIRM:
+                found.setdefault((first[k], family), (float(p[k, best[k]]), alike))
+                taken[k] = True
+        return taken
+
+    add(list(range(len(lines))), lines)
+    blank = [-1, *(k for k, line in enumerate(lines) if not len(line)), len(lines)]
+    for before, after in zip(blank, blank[1:]):
+        if after - before < 2:
+            continue
+        part = lines[before + 1 : after]
+        ids = np.concatenate(part)
+        regions = templates.regions(ids)
+        if not regions:
+            continue
+        owner = np.repeat(np.arange(before + 1, after), [len(line) for line in part])
+        taken: list[tuple[int, int]] = []
+        for begin, end in regions:
+            if any(begin < e and b < end for b, e in taken):
+                continue
+            if add([int(owner[begin])], [ids[begin:end]])[0]:
+                taken.append((begin, end))
+    return [(k, family, *found[k, family]) for k, family in sorted(found)]
+
+
 def licenses(docs: DataFrame) -> DataFrame:
     """(doc_id, paragraph, family, probability, similarity): a row for each licence paragraph.
 
-    Every paragraph (line) of every whole text of docs(doc_id, text, …) is classified; those of a
-    licence family with enough probability that a template of the family confirms are returned, with
-    their number from 0. Null and blank texts have none; equal rows are reported apart; a null id
+    Every line of every whole text of docs(doc_id, text, …) is classified, and notices that are wrapped
+    over lines or stand inside longer ones are looked for in windows; those of a licence family with
+    enough probability that a template of the family confirms are returned, with the number from 0 of
+    the line they begin in. Null and blank texts have none; equal rows are reported apart; a null id
     stays null; extra columns are ignored; an empty table gives no rows.
     """
     model = fit(docs)
@@ -238,15 +329,8 @@ def licenses(docs: DataFrame) -> DataFrame:
             found = []
             for doc_id, cell in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
                 lines = (cell.as_py() or b"").split(b"\n")
-                paragraphs = [words_of(line) for line in lines]
-                p = sent.value.probabilities(paragraphs)
-                best = p.argmax(axis=1)
-                chance = p[np.arange(len(p)), best]
-                for k in np.flatnonzero((best < len(TEMPLATES)) & (chance >= ACCEPT)).tolist():
-                    family = FAMILIES[best[k]]
-                    alike = templates.share(paragraphs[k], family)
-                    if alike >= CONFIRM:
-                        found.append((doc_id, k, family, float(chance[k]), alike))
+                met = notices([words_of(line) for line in lines], sent.value, templates)
+                found += [(doc_id, *notice) for notice in met]
             columns = list(zip(*found)) if found else [[]] * 5
             kinds = [pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays(

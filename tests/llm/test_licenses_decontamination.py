@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import numpy as np
 
@@ -20,6 +21,26 @@ def test_known_notices_are_found_and_nothing_else(docs):
     assert {r["paragraph"] for r in found} == {1}
 
 
+def test_wrapped_and_embedded_notices_are_found(docs):
+    family = {t: f for f, ts in licenses.TEMPLATES.items() for t in ts}
+    texts = list(family)
+    rows = []
+    for k, t in enumerate(texts):
+        for turn, width in enumerate((30, 70)):
+            lines = textwrap.wrap(t, width)
+            rows.append((10 * k + turn, f"{ENGLISH}\n\n" + "\n".join(f" * {line}" for line in lines) + f"\n\n{ENGLISH}", "en"))
+        rows.append((10 * k + 2, f"{ENGLISH * 4}{t} {ENGLISH * 4}", "en"))
+        rows.append((10 * k + 3, textwrap.fill(f"{ENGLISH}{t} {ENGLISH * 2}", 72), "en"))
+    rows += [(9000 + k, textwrap.fill(f"{ENGLISH}{t} {ENGLISH}", 60), "en") for k, t in enumerate(licenses.OTHERS)]
+    rows.append((9500, f"{ENGLISH * 2}{texts[0]} {ENGLISH * 3}{texts[3]} {ENGLISH}", "en"))
+    found = licenses.licenses(docs(rows)).collect()
+    want = {(10 * k + turn, family[t]) for k, t in enumerate(texts) for turn in range(4)}
+    want |= {(9500, family[texts[0]]), (9500, family[texts[3]])}
+    assert {(r["doc_id"], r["family"]) for r in found} == want
+    assert {r["paragraph"] for r in found if r["doc_id"] < 9000 and r["doc_id"] % 10 < 2} == {2}
+    assert {r["paragraph"] for r in found if r["doc_id"] == 9500 or r["doc_id"] % 10 == 2} == {0}
+
+
 def test_notices_of_the_test_table(spark):
     lines = {
         "Licensed under the Apache License, Version 2.0.": "apache-2.0",
