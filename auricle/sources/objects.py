@@ -14,12 +14,47 @@ def binary_files(spark: SparkSession, path: str, glob: str | None = None) -> Dat
     return reader.load(path)
 
 
+def _empty_files(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(path, length, modificationTime) of the files that a binaryFile frame has listed, which Spark
+    does in tasks, but gives no row because they are empty."""
+    jvm = spark._jvm
+    listed = spark._jsparkSession.createDataset(
+        jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(files._jdf.inputFiles()),
+        jvm.org.apache.spark.sql.Encoders.STRING(),
+    )
+    # listed as URIs, with an empty host or without, while rows have plain paths; a plus is no blank
+    plain = F.url_decode(F.replace(F.col("uri"), F.lit("+"), F.lit("%2B")))
+
+    def one_form(path: Column) -> Column:
+        return F.regexp_replace(path, "^([^:/]+):///", "$1:/")
+
+    left_out = (
+        DataFrame(listed.toDF(), spark)
+        .toDF("uri")
+        .withColumn("path", one_form(plain))
+        .join(files.select(one_form(F.col("path")).alias("path")), "path", "left_anti")
+    )
+    rows = []
+    for (uri,) in left_out.select("uri").toLocalIterator():
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        rows.append((path.toString(), status.getLen(), status.getModificationTime()))
+    return spark.createDataFrame(rows, "path string, length long, changed long").select(
+        "path", "length", F.timestamp_millis("changed").alias("modificationTime")
+    )
+
+
 def list_objects(
     spark: SparkSession, root: str, prefix: str = "", glob: str | None = None
 ) -> DataFrame:
-    """(key, length, modification_time) of the objects below root/prefix, keys relative to root."""
+    """(key, length, modification_time) of the objects below root/prefix, keys relative to root.
+
+    Empty objects are listed too.
+    """
     base = root.rstrip("/")
     files = binary_files(spark, f"{base}/{prefix}" if prefix else base, glob)
+    files = files.select("path", "length", "modificationTime")
+    files = files.union(_empty_files(spark, files))
     marker = f"{base.split(':', 1)[-1].lstrip('/')}/"
     return files.select(
         F.substring_index("path", marker, -1).alias("key"),

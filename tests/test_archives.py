@@ -2,12 +2,13 @@ import gzip
 import io
 import json
 import lzma
+import os
 import tarfile
 
 import pytest
 from pyspark.sql import functions as F
 
-from auricle.plans import unpack
+from auricle.plans import retention, unpack
 from auricle.sources import archives, objects
 from tests.conftest import values
 
@@ -177,3 +178,22 @@ def test_unpack_job(spark, rows, tmp_path, fmt):
     assert set(letters) == {"broken", "failed", "lost"}
     assert letters["failed"]["extra"] == {"k": 1} and letters["failed"]["failed_at"].endswith("Z")
     assert values(result.consumed, "batch_id") == [("good",)]
+
+
+def test_listing_holds_empty_objects(spark, tmp_path):
+    (tmp_path / "a b").mkdir()
+    content = {"a b/1+2 é%20.zip": b"", "a b/full.zip": b"abc", "c.zip": b"", "d.txt": b""}
+    for name, data in content.items():
+        (tmp_path / name).write_bytes(data)
+        os.utime(tmp_path / name, (1_700_000_000, 1_700_000_000))
+    listed = objects.list_objects(spark, f"file:{tmp_path}")
+    assert {(r.key, r.length) for r in listed.collect()} == {(k, len(v)) for k, v in content.items()}
+    seconds = listed.select(F.unix_seconds("modification_time").alias("s")).distinct().collect()
+    assert [r.s for r in seconds] == [1_700_000_000]
+    assert {r.key for r in objects.list_objects(spark, f"file:{tmp_path}", "a b", "*.zip").collect()} == {
+        k for k in content if k.startswith("a b/")
+    }
+    plan = retention.bucket_clear(listed)
+    assert {r.key for r in plan.collect()} == set(content)
+    as_of = F.lit("2023-12-01 00:00:00").cast("timestamp")
+    assert [r.key for r in objects.ready_archives(listed, as_of).collect()] == sorted(content)
