@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -24,7 +23,7 @@ from auricle.llm.subwords import encoder
 
 CAPACITY = 1024
 END_ID = 2
-SLICE = 4 << 20
+SLICE = 16 << 20
 
 
 def token_pieces(
@@ -38,15 +37,15 @@ def token_pieces(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode_all = encoder(tokenizer).encode_all
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
             for low, high in slices(sizes, SLICE):
                 part = batch.slice(low, high - low)
                 keys, numbers, starts, lengths, cut = [], [], [], [], []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = encode(text or "") + end
+                for key, ids in zip(part.column(0).to_pylist(), encode_all(part.column(1))):
+                    ids += end
                     total = len(ids) // 4
                     begin, number = 0, 0
                     size = (total - 1) % capacity + 1
@@ -144,57 +143,62 @@ def make_plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """pieces(doc_id, piece, length, …) with sequence_id and offset added.
+    """pieces(doc_id, piece, length, …) with sequence_id and offset, in place of columns of these
+    names.
 
     Pieces are ranked within their length by (salt, doc_id, piece): a length that holds a large part
     of all rows is spread over as many salts as there are shuffle partitions, whose counts give the
-    first rank of each. Pieces of full capacity are sequences of their own. Columns named
-    salt, base, rank or n must not occur. An empty table gives no rows.
+    first rank of each. Pieces of full capacity are sequences of their own. Other columns may have
+    any name; null ids are kept, repeated ids are separate. An empty table gives no rows.
     """
     spark = pieces.sparkSession
     width = shuffle_width(spark)
-    short = pieces.where(F.col("length") < capacity).withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(width)).cast("int")
+    pieces = pieces.drop("sequence_id", "offset")
+    rows = pieces.select(
+        F.struct(*(f"`{name}`" for name in pieces.columns)).alias("row"),
+        F.col("length").cast("long").alias("size"),
+        F.pmod(F.xxhash64("doc_id", "piece"), F.lit(width)).cast("int").alias("salt"),
     )
-    sizes = short.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    short = rows.where(F.col("size") < capacity)
+    sizes = short.groupBy("size", "salt").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     # at most capacity x shuffle partitions rows
-    first = sizes.select(
-        "length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")
-    )
-    totals = sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most capacity rows
-    plan = make_plan({r["length"]: r["n"] for r in totals}, capacity)
+    first = sizes.select("size", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    totals = sizes.groupBy("size").agg(F.sum("n").alias("n")).collect()  # at most capacity rows
+    plan = make_plan({r["size"]: r["n"] for r in totals}, capacity)
     runs = plan.arrays()
 
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            length, rank = frame["length"].to_numpy(), frame["rank"].to_numpy()
-            sequence = np.zeros(len(frame), dtype=np.int64)
-            offset = np.zeros(len(frame), dtype=np.int64)
-            for value in np.unique(length):
-                rows = np.flatnonzero(length == value)
-                low, bins, each, at = runs[int(value)]
-                run = np.searchsorted(low, rank[rows], side="right") - 1
-                step = rank[rows] - low[run]
-                sequence[rows] = bins[run] + step // each[run]
-                offset[rows] = at[run] + step % each[run] * value
-            yield frame.drop(columns=["rank"]).assign(sequence_id=sequence, offset=offset)
-
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece")
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, rank = batch.column("size").to_numpy(), batch.column("rank").to_numpy()
+            sequence = np.zeros(len(size), dtype=np.int64)
+            offset = np.zeros(len(size), dtype=np.int64)
+            for value in np.unique(size):
+                at = np.flatnonzero(size == value)
+                low, bins, each, begin = runs[int(value)]
+                run = np.searchsorted(low, rank[at], side="right") - 1
+                step = rank[at] - low[run]
+                sequence[at] = bins[run] + step // each[run]
+                offset[at] = begin[run] + step % each[run] * value
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(sequence), pa.array(offset)],
+                names=["row", "sequence_id", "offset"],
+            )
+
+    within = Window.partitionBy("size", "salt").orderBy("row.doc_id", "row.piece")
     ranked = (
-        short.withColumn("rank", F.row_number().over(within) - 1)
-        .join(first, ["length", "salt"])
-        .withColumn("rank", F.col("rank") + F.col("base"))
-        .select(*pieces.columns, "rank")
+        short.withColumn("place", F.row_number().over(within) - 1)
+        .join(first, ["size", "salt"])
+        .select("row", "size", (F.col("place") + F.col("base")).alias("rank"))
     )
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema]
-    placed = ranked.mapInPandas(place, ", ".join([*kinds, "sequence_id long", "offset long"]))
-    full = pieces.where(F.col("length") >= capacity).select(
-        *pieces.columns,
+    kind = rows.schema["row"].dataType.simpleString()
+    placed = ranked.mapInArrow(place, f"row {kind}, sequence_id long, offset long")
+    full = rows.where(F.col("size") >= capacity).select(
+        "row",
         (F.lit(plan.bins) + F.monotonically_increasing_id()).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
     )
-    return placed.union(full)
+    return placed.union(full).select("row.*", "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -2,30 +2,50 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from auricle.llm import packing
 from auricle.llm.registry import tokenizer_path
-from auricle.llm.subwords import Chunked
+from auricle.llm.subwords import Chunked, Spaced
 from tests.llm.conftest import ODD
 
 
 @pytest.fixture(scope="module")
 def whole():
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_chunks_give_the_ids_of_whole_texts(whole):
-    chunked = Chunked(tokenizer_path(), room=50)
+    chunked = Chunked(tokenizer_path())
     rng = random.Random(0)
     parts = ["word", "Word,", "it's", "12.5", " ", "  ", "\n", "\t", "é,", "ß.", "日本", "　", "\x1c",
              " ", "\x85", "᠎", "!!", "a.", ",", "<|endoftext|>", "\U0001f600", "x" * 90, "'ll", "don't"]
     texts = ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(40)) for _ in range(400)]
-    for text in [*texts, "", " ", " a", "a ", "a  b"]:
-        assert np.frombuffer(chunked.encode(text), "<u4").tolist() == whole(text), repr(text)
+    texts += ["", " ", " a", "a ", "a  b", "hello <|endoftext|> world", "a<|endoftext|>", "x\n\n"]
+    for text, ids in zip(texts, chunked.encode_all(pa.array(texts))):
+        assert np.frombuffer(ids, "<u4").tolist() == whole(text), repr(text)
+    assert np.frombuffer(chunked.encode_all(pa.array([texts[-3]]))[0], "<u4").tolist() == [31373, 220, 50256, 995]
+    assert chunked.encode_all(pa.array([None, ""], pa.string())) == [b"", b""]
+    assert chunked.encode_all(pa.array([], pa.string())) == []
+
+
+def test_spaced_chunks_give_the_ids_of_whole_texts():
+    path = tokenizer_path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    spaced = Spaced(path)
+    rng = random.Random(1)
+    parts = ["word", "Word,", "IT'S", "12.5", " ", "\n", "\t", "É,", "e\u0301", "ß.", "日本", "\u3000",
+             "\x1c", "\x85", "!!", "a.", "<|endoftext|>", "<|ENDOFTEXT|>", "\U0001f600", "x" * 90, "'LL,", "ΟΔΟΣ",
+             "\u0958", "İ", "don't", "q'", "(a-b)", "ǅ"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(40)) for _ in range(400)]
+    texts += ["", " ", " a", "a ", "a  b", "A", "\n"]
+    for text, ids in zip(texts, spaced.encode_all(pa.array(texts))):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    assert spaced.encode_all(pa.array([None, ""], pa.string())) == [b"", b""]
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -106,3 +126,13 @@ def test_sequences_hold_the_ids(docs, whole):
 
 def test_empty_table(empty):
     assert packing.digests(empty, tokenizer_path()).collect() == []
+
+
+def test_large_ids_beside_a_null_id_and_columns_of_any_name(docs, spark):
+    big = [9007199254740993, 1152921504606846983, None]
+    pieces = packing.token_pieces(docs([(k, "a b c", None) for k in big]), tokenizer_path())
+    named = pieces.withColumns({n: F.lit("x") for n in ("salt", "base", "rank", "n", "size", "row", "offset")})
+    rows = packing.pack(named).collect()
+    assert {r["doc_id"] for r in rows} == set(big)
+    assert sorted(r["offset"] for r in rows) == [0, 4, 8]
+    assert all(r["salt"] == r["size"] == r["row"] == "x" for r in rows)
