@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auricle.llm import (
+    collocations,
     decontamination,
     language,
     licenses,
@@ -17,11 +18,15 @@ from auricle.llm import (
     pii,
     quality,
     simhash,
+    spelling,
+    token_files,
     urls,
 )
 from auricle.llm.common import fold, table
+from auricle.session import run_dir
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 
 
@@ -109,6 +114,23 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word, the form it is a variant of and the root of that."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to ORC files and read back."""
+    path = run_dir(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path(WORD_TOKENIZER))
+    return token_files.checksums(token_files.read_tokens(spark, path))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of every language that occur most above what their parts let expect."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -122,6 +144,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_packing,
         op10_language,
+        op11_spelling,
+        op12_token_files,
+        op13_collocations,
     )
 }
-ORACLE: dict[str, str] = {"op1_urls": urls.ORACLE}
+ORACLE: dict[str, str] = {"op1_urls": urls.ORACLE, "op13_collocations": collocations.ORACLE}
