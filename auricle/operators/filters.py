@@ -71,10 +71,12 @@ def recent_failures(files: DataFrame, as_of: Column, limit: int = 20) -> DataFra
 
 
 def within_ids(children: DataFrame, files: DataFrame) -> DataFrame:
-    """Child rows between the least and the largest id of the files.
+    """Child rows from the least id of the files on.
 
-    A bound for the scan only, given as two values: a child table written in order of its file id
-    skips the row groups outside. The join that follows decides.
+    A bound for the scan only: a child table written in order of its file id skips the row groups
+    below. The join that follows decides. Windows end at the newest file, so one bound is enough,
+    and one alone reaches the scan: Spark merges two subqueries over the same rows into one struct,
+    whose fields it does not push down.
     """
-    low, high = files.agg(F.min("id")).scalar(), files.agg(F.max("id")).scalar()
-    return children.filter((F.col("audio_file_id") >= low) & (F.col("audio_file_id") <= high))
+    low = files.agg(F.min("id")).scalar()
+    return children.filter(F.col("audio_file_id") >= low)

@@ -108,11 +108,9 @@ def reconcile_sizes(manifest: DataFrame) -> DataFrame:
 
 
 def keys_of_files(listing: DataFrame, files: DataFrame) -> DataFrame:
-    """Processed objects that belong to the given files, matched on the stem of the key."""
-    stems = files.select(
-        F.col("id").alias("audio_file_id"), S.path_stem("original_filename").alias("stem")
-    )
+    """Processed objects of the given files, matched on the key that is stored with a file."""
+    stored = files.select(F.col("id").alias("audio_file_id"), F.col("s3_opus_path").alias("key"))
     objects = listing.filter(
         F.col("key").startswith("processed/") & F.col("key").endswith(".opus")
-    ).withColumn("stem", S.path_stem("key"))
-    return objects.join(stems, "stem").select("audio_file_id", "key", "length")
+    )
+    return objects.join(stored, "key").select("audio_file_id", "key", "length")

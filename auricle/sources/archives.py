@@ -1,8 +1,10 @@
 """Tar archives: type by content, member lists, member content.
 
-Input is a `binaryFile` frame, one archive per row. Spark packs archives into tasks by size, and
-a task opens each archive where it was read; only member rows leave the stage, and content only
-for the members that are asked for.
+Archives come as paths, such as a listing gives, and are opened by the tasks. A first pass finds the
+members: in a plain tar it seeks from header to header, in a packed one it streams. A second one
+fetches the content that is asked for, of plain tars by byte ranges, so one large archive is shared
+by many tasks; none ever holds more than a member at a time. A `binaryFile` frame, with the content
+of small archives in its rows, is taken as well.
 """
 
 from __future__ import annotations
@@ -14,11 +16,14 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auricle.functions import scalars as S
+from auricle.session import staged
+from auricle.sources import storage
 
 # Leading bytes of the compressed formats, and the tar mark with its offset.
 GZIP_MAGIC = "1f8b"
@@ -29,6 +34,8 @@ TAR_OFFSET = 257
 HEADER_BYTES = 512
 # Compressed bytes that are sent along to find the first 512 plain bytes.
 PROBE_BYTES = 1 << 16
+# As many more are looked at where the packed stream's own header is longer.
+HEAD_LIMIT = 1 << 20
 # Members are sent on in frames of about this many bytes.
 EMIT_BYTES = 32 << 20
 
@@ -126,6 +133,208 @@ def _open_tar(content: bytes, kind: str) -> tarfile.TarFile:
     raise failure
 
 
+# Bytes of members that one task fetches from a plain tar.
+RANGE_BYTES = 128 << 20
+# Members that the tarfile object may remember; it keeps all of them if nobody clears them.
+FORGET = 1024
+
+_FOUND = (
+    "path STRING, kind STRING, position INT, name STRING, member_path STRING, size BIGINT, "
+    "at BIGINT, plain BOOLEAN, link BOOLEAN, error STRING"
+)
+
+
+def _file_kind(file) -> str:
+    """The archive type from the head of an open file."""
+    head = file.read(PROBE_BYTES)
+    kind = _kind(head)
+    if kind in ("gzip", "xz") and len(head) == PROBE_BYTES and not _plain_head(head):
+        # the head ends within the packed stream's own header
+        kind = _kind(head + file.read(HEAD_LIMIT - PROBE_BYTES))
+    file.seek(0)
+    return kind
+
+
+def _walk(
+    file, kind: str, links: bool = False
+) -> Iterator[tuple[int, tarfile.TarInfo, tarfile.TarFile]]:
+    """The members in order. Plain tars are walked by seeking, packed ones unpacked on the way.
+    Earlier members are forgotten unless links to them are to be followed."""
+    mode = {"tar": "r:", "tar.gz": "r:gz", "tar.xz": "r:xz", "gzip": "r:gz", "xz": "r:xz"}[kind]
+    with tarfile.open(fileobj=file, mode=mode) as tar:
+        position = 0
+        while (member := tar.next()) is not None:
+            yield position, member, tar
+            position += 1
+            if len(tar.members) > FORGET and not links:
+                tar.members = tar.members[-1:]
+
+
+def _frame(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names = [part.split()[0] for part in schema.split(", ")]
+    kinds = {"STRING": pa.string(), "INT": pa.int32(), "BIGINT": pa.int64(), "BOOLEAN": pa.bool_(),
+             "BINARY": pa.binary()}
+    types = [kinds[part.split()[1]] for part in schema.split(", ")]
+    columns = [*zip(*rows)] or [()] * len(names)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, kind) for column, kind in zip(columns, types)], names=names
+    )
+
+
+def _emit(rows: Iterator[tuple], schema: str) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of about EMIT_BYTES."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 200 + sum(len(value) for value in row if isinstance(value, bytes))
+        if size >= EMIT_BYTES or len(held) >= 10_000:
+            yield _frame(held, schema)
+            held, size = [], 0
+    if held:
+        yield _frame(held, schema)
+
+
+def find_members(files: DataFrame) -> DataFrame:
+    """(path, kind, position, name, member_path, size, at, plain, link, error): every member header of the
+    archives of files(path, …), folders included; `at` is where the content of a plain one begins.
+
+    member_path is null for what is no file or has no safe name. An archive that cannot be read to
+    the end has a last row with the error, and no other columns.
+    """
+
+    def of_archive(path: str) -> Iterator[tuple]:
+        try:
+            with storage.open_file(path) as file:
+                kind = _file_kind(file)
+                if kind == "unknown":
+                    yield (path, kind, *[None] * 7, "unknown archive type")
+                    return
+                for position, member, _ in _walk(file, kind):
+                    safe = tarfile.data_filter(member, "/unpacked")
+                    named = None
+                    if safe is not None and not member.isdir():
+                        named = safe.name.removeprefix("./")
+                    plain = kind == "tar" and member.isreg() and not member.issparse()
+                    yield (path, kind, position, member.name, named, member.size,
+                           member.offset_data, plain, member.islnk() or member.issym(), None)
+        except Exception as error:  # any unreadable archive becomes a row
+            yield (path, *[None] * 8, f"{type(error).__name__}: {error}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                yield from _emit(of_archive(path), _FOUND)
+
+    width = 4 * files.sparkSession.sparkContext.defaultParallelism
+    return files.select("path").repartition(max(1, width)).mapInArrow(run, _FOUND)
+
+
+def _fetch(wanted: DataFrame) -> DataFrame:
+    """(path, position, content, failed) of the members wanted(path, kind, position, size, at, plain,
+    link).
+
+    Plain members are dealt by ranges of their archive and read there; others need their archive
+    read as a stream, once, by one task.
+    """
+    schema = "path STRING, position INT, content BINARY, failed STRING"
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            opened, file = None, None
+            for batch in batches:
+                for r in batch.to_pylist():
+                    try:
+                        if r["path"] != opened:
+                            if file:
+                                file.close()
+                            file, opened = storage.open_file(r["path"]), r["path"]
+                        file.seek(r["at"])
+                        data = file.read(r["size"])
+                        if len(data) < r["size"]:
+                            raise tarfile.ReadError("unexpected end of data")
+                        yield (r["path"], r["position"], data, None)
+                    except Exception as error:
+                        yield (r["path"], r["position"], None, f"{type(error).__name__}: {error}")
+            if file:
+                file.close()
+
+        yield from _emit(rows(), schema)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for r in batch.to_pylist():
+                    left = set(r["positions"])
+                    try:
+                        with storage.open_file(r["path"]) as file:
+                            for position, member, tar in _walk(file, r["kind"], r["links"]):
+                                if position in left:
+                                    left.remove(position)
+                                    yield (r["path"], position, tar.extractfile(member).read(), None)
+                                if not left:
+                                    break
+                    except Exception as error:
+                        for position in sorted(left):
+                            yield (r["path"], position, None, f"{type(error).__name__}: {error}")
+
+        yield from _emit(rows(), schema)
+
+    width = max(1, 4 * wanted.sparkSession.sparkContext.defaultParallelism)
+    block = F.floor(F.col("at") / RANGE_BYTES)
+    plain = (
+        wanted.where("plain")
+        .repartition(width, "path", block)
+        .sortWithinPartitions("path", "at")
+        .mapInArrow(ranges, schema)
+    )
+    others = (
+        wanted.where("not plain")
+        .groupBy("path", "kind")
+        .agg(F.collect_list("position").alias("positions"), F.max("link").alias("links"))
+        .mapInArrow(packed, schema)
+    )
+    return plain.unionByName(others)
+
+
+def read_files(files: DataFrame, content_suffixes: list[str] | None = None) -> DataFrame:
+    """Member files of the archives of files(path, …), as `read_members` gives them.
+
+    Archives may be of any size and are never held whole. Their headers are read in a pass of its
+    own, whose rows are written to the shared folder.
+    """
+    found = staged(find_members(files))
+    broken = found.where("error is not null").select("path", "error")
+    good = found.where("error is null").join(broken, "path", "left_anti")
+    # a later member of the same name replaces the earlier one
+    last = good.groupBy("path", "name").agg(F.max("position").alias("position"))
+    folders = good.groupBy("path").agg(
+        F.max(F.regexp_replace("name", r"^\./", "").startswith("metadata/")).alias(
+            "has_metadata_dir"
+        )
+    )
+    kept = (
+        good.where("member_path is not null")
+        .join(last, ["path", "name", "position"], "left_semi")
+        .join(folders, "path", "left")
+    )
+    wanted = kept
+    if content_suffixes is not None:
+        asked = F.lit(False)
+        for suffix in content_suffixes:
+            asked = asked | F.lower("member_path").endswith(suffix)
+        wanted = kept.where(asked)
+    columns = [part.split()[0] for part in MEMBER_SCHEMA.split(", ")]
+    broken = broken.select("path", *[F.lit(None).alias(c) for c in columns[1:-1]], "error")
+    if content_suffixes == []:
+        members = kept.withColumns({"content": F.lit(None).cast("binary"), "failed": F.lit(None)})
+    else:
+        fetched = _fetch(wanted.select("path", "kind", "position", "size", "at", "plain", "link"))
+        members = kept.join(fetched, ["path", "position"], "left")
+    return members.select(*columns[:-1], F.col("failed").alias("error")).unionByName(broken).to(
+        files.sparkSession.createDataFrame([], MEMBER_SCHEMA).schema
+    )
+
+
 def _members(path: str, content: bytes, suffixes: tuple[str, ...] | None):
     """Rows of one archive; a problem gives a last row with the error."""
     kind = _kind(content)
@@ -153,8 +362,11 @@ def _members(path: str, content: bytes, suffixes: tuple[str, ...] | None):
 def read_members(archives: DataFrame, content_suffixes: list[str] | None = None) -> DataFrame:
     """Member files of each archive, with content for the given suffixes (None: for all).
 
-    Rows with `error` set stand for archives that could not be read to the end.
+    Rows with `error` set stand for archives that could not be read to the end. Archives without a
+    `content` column are opened by their path, and may be of any size.
     """
+    if "content" not in archives.columns:
+        return read_files(archives, content_suffixes)
     suffixes = None if content_suffixes is None else tuple(content_suffixes)
 
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

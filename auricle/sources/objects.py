@@ -1,10 +1,18 @@
-"""Listings of objects and files. File content is never read for a listing."""
+"""Listings of objects and files. No file is opened for a listing."""
 
 from __future__ import annotations
 
+import fnmatch
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auricle.session import run_dir
+from auricle.sources import storage
+
 
 def binary_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """All files below a path as (path, modificationTime, length, content), one per row."""
@@ -14,53 +22,77 @@ def binary_files(spark: SparkSession, path: str, glob: str | None = None) -> Dat
     return reader.load(path)
 
 
-def _empty_files(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """(path, length, modificationTime) of the files that a binaryFile frame has listed, which Spark
-    does in tasks, but gives no row because they are empty."""
-    jvm = spark._jvm
-    listed = spark._jsparkSession.createDataset(
-        jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(files._jdf.inputFiles()),
-        jvm.org.apache.spark.sql.Encoders.STRING(),
-    )
-    # listed as URIs, with an empty host or without, while rows have plain paths; a plus is no blank
-    plain = F.url_decode(F.replace(F.col("uri"), F.lit("+"), F.lit("%2B")))
+#: Rows of a listing that a task sends on at a time.
+LISTED = 10_000
+_ENTRY = "path STRING, length BIGINT, changed TIMESTAMP, folder BOOLEAN"
 
-    def one_form(path: Column) -> Column:
-        return F.regexp_replace(path, "^([^:/]+):///", "$1:/")
 
-    left_out = (
-        DataFrame(listed.toDF(), spark)
-        .toDF("uri")
-        .withColumn("path", one_form(plain))
-        .join(files.select(one_form(F.col("path")).alias("path")), "path", "left_anti")
-    )
-    rows = []
-    for (uri,) in left_out.select("uri").toLocalIterator():
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
-        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
-        rows.append((path.toString(), status.getLen(), status.getModificationTime()))
-    return spark.createDataFrame(rows, "path string, length long, changed long").select(
-        "path", "length", F.timestamp_millis("changed").alias("modificationTime")
-    )
+def _entries(folders: DataFrame) -> DataFrame:
+    """What lies directly in each folder of folders(path), listed by the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                found = storage.children(path)
+                for low in range(0, len(found), LISTED):
+                    part = found[low : low + LISTED]
+                    inside = [info.type == fs.FileType.Directory for info in part]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([f"{path}/{info.base_name}" for info in part]),
+                            pa.array([info.size for info in part], pa.int64()),
+                            pa.array([(info.mtime_ns or 0) // 1000 for info in part], pa.int64()).cast(
+                                pa.timestamp("us", "UTC")
+                            ),
+                            pa.array(inside),
+                        ],
+                        names=["path", "length", "changed", "folder"],
+                    )
+
+    return folders.select("path").mapInArrow(run, _ENTRY)
 
 
 def list_objects(
     spark: SparkSession, root: str, prefix: str = "", glob: str | None = None
 ) -> DataFrame:
-    """(key, length, modification_time) of the objects below root/prefix, keys relative to root.
+    """(key, length, modification_time) of all objects below root/prefix, keys relative to root.
 
-    Empty objects are listed too.
+    Folders are listed level by level: each round deals the folders of one level to tasks and writes
+    what they found, and the driver sees how many folders are left. Empty objects and names that
+    Spark's readers skip are listed too; a prefix that names no folder gives no rows. `glob` holds
+    for the last part of the key.
     """
+    return listing(spark, root, prefix, glob)[0]
+
+
+def listing(
+    spark: SparkSession, root: str, prefix: str = "", glob: str | None = None
+) -> tuple[DataFrame, list[str]]:
+    """As list_objects, with the folders of the shared folder that hold it, to be removed by whoever
+    lists time and again."""
     base = root.rstrip("/")
-    files = binary_files(spark, f"{base}/{prefix}" if prefix else base, glob)
-    files = files.select("path", "length", "modificationTime")
-    files = files.union(_empty_files(spark, files))
-    marker = f"{base.split(':', 1)[-1].lstrip('/')}/"
-    return files.select(
-        F.substring_index("path", marker, -1).alias("key"),
+    begin = "/".join([base, *prefix.strip("/").split("/")]) if prefix.strip("/") else base
+    width = max(1, spark.sparkContext.defaultParallelism)
+    rounds: list[str] = []
+    folders = spark.createDataFrame([(begin,)], "path STRING")
+    left = 1
+    while left:
+        rounds.append(run_dir(spark, "listing"))
+        # a round of many folders is split over many tasks, whatever the file sizes say
+        spread = folders.repartition(min(left, 8 * width))
+        _entries(spread).write.parquet(rounds[-1])
+        folders = spark.read.schema(_ENTRY).parquet(rounds[-1]).where("folder").select("path")
+        left = folders.count()
+    files = spark.read.schema(_ENTRY).parquet(*rounds).where("not folder")
+    if glob:
+        pattern = fnmatch.translate(glob).replace(r"\Z", r"\z")
+        files = files.where(F.substring_index("path", "/", -1).rlike(f"^{pattern}"))
+    listed = files.select(
+        F.substring(F.col("path"), F.lit(len(base) + 2), F.length("path")).alias("key"),
         "length",
-        F.col("modificationTime").alias("modification_time"),
+        F.col("changed").alias("modification_time"),
     )
+    return listed, rounds
 
 
 def idle_minutes(modified: Column | str, as_of: Column) -> Column:

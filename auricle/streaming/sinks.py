@@ -13,6 +13,28 @@ def write_epoch(df: DataFrame, path: str, epoch: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
 
+def drop(spark: SparkSession, *paths: str) -> None:
+    """Removes folders that this library wrote and nothing reads any more."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def last_state(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
+    """What the epoch before this one left with `leave_state`; None before the first."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/epoch={epoch - 1}")
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return None
+    return spark.read.parquet(f"{path}/epoch={epoch - 1}")
+
+
+def leave_state(df: DataFrame, path: str, epoch: int) -> None:
+    """What the next epoch needs to know. The state before the last is removed, the last one stays
+    for a retry of this epoch."""
+    write_epoch(df, path, epoch)
+    drop(df.sparkSession, f"{path}/epoch={epoch - 2}")
+
+
 def read_epochs(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All epochs written so far, with the epoch as a column."""
     return spark.read.schema(f"{schema}, epoch BIGINT").parquet(path)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from auricle.plans import sync
 from auricle.sources import objects
-from auricle.streaming.sinks import write_epoch
+from auricle.streaming.sinks import drop, last_state, leave_state, write_epoch
 
 SYNC_EVERY = "5 minutes"
 POLL_EVERY = "60 seconds"
@@ -24,14 +24,6 @@ def ticks(spark: SparkSession) -> DataFrame:
     return spark.readStream.format("rate").option("rowsPerSecond", 1).load()
 
 
-def _written(spark: SparkSession, path: str, run: str, epoch: int) -> DataFrame | None:
-    """Rows of earlier epochs, or None before the first one."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
-        return None
-    return spark.read.option("basePath", path).parquet(path).filter(F.col(run) < epoch)
-
-
 def sync_tick(
     spark: SparkSession,
     tables: Callable[[], tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]],
@@ -68,17 +60,26 @@ def sync_tick(
 def poll_tick(
     spark: SparkSession, folder: str, out: str, as_of: Callable[[], Column], older_than: int = 10
 ) -> Callable[[DataFrame, int], None]:
-    """Each tick emits the files that became old enough and were not emitted before."""
+    """Each tick emits the files that became old enough and were not emitted before.
+
+    A tick remembers which of the files that are there it has emitted, with their times, for the next
+    one, at `out`-known; so what it reads is bounded by the folder, not by the ticks before. A file
+    that is written again is emitted again once it is old enough, and so is one that was away.
+    """
+    known = f"{out}-known"
 
     def each(_batch: DataFrame, epoch: int) -> None:
-        listing = objects.list_objects(spark, folder)
+        listing, scratch = objects.listing(spark, folder)
         ready = listing.filter(
             (objects.idle_minutes("modification_time", as_of()) > older_than)
             & ~F.col("key").endswith(".lock")
         )
-        before = _written(spark, out, "epoch", epoch)
+        before = last_state(spark, known, epoch)
+        due = ready
         if before is not None:
-            ready = ready.join(before.select("key"), "key", "left_anti")
-        write_epoch(ready, out, epoch)
+            due = ready.join(before, ["key", "modification_time"], "left_anti")
+        write_epoch(due.select("key", "length", "modification_time"), out, epoch)
+        leave_state(ready.select("key", "modification_time"), known, epoch)
+        drop(spark, *scratch)
 
     return each

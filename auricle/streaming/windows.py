@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import timedelta
 
 import pandas as pd
@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from auricle.operators.leases import LEASE_MICROS
+from auricle.streaming.sinks import last_state, leave_state, write_epoch
 
 
-def hourly_counts(files: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Files per hour of `created_at`, which streaming needs as a zoned timestamp."""
+def hourly_counts(files: DataFrame, delay: str) -> DataFrame:
+    """Files per hour of `created_at`, which streaming needs as a zoned timestamp.
+
+    Rows that come more than `delay` late are dropped; the query's progress counts them. Where none
+    may be lost, use `hourly_tick`.
+    """
     timed = files.select(F.col("created_at").cast("timestamp").alias("at")).withWatermark(
         "at", delay
     )
@@ -24,6 +29,50 @@ def hourly_counts(files: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
+def hourly_tick(out: str, delay: timedelta) -> Callable[[DataFrame, int], None]:
+    """Each micro-batch adds its rows (hour, late, processed) to `out`: files per hour of
+    `created_at`, those apart that came `delay` or more after their hour had ended.
+
+    The clock is the newest `created_at` of all micro-batches before, one row that is handed from one
+    to the next at `out`-seen. Nothing is dropped: rows that are late correct an hour that others may
+    have taken for settled. Rows without a time have the hour null and are never late.
+    """
+    seen_at = f"{out}-seen"
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        before = last_state(spark, seen_at, epoch)
+        seen = None if before is None else before.first()["seen"]
+        hour = F.date_trunc("hour", F.col("created_at").cast("timestamp")).cast("timestamp_ntz")
+        late = F.lit(False)
+        if seen is not None:
+            settled = F.lit(seen) - F.make_dt_interval(secs=F.lit(delay.total_seconds()))
+            late = F.coalesce(F.col("hour") + F.expr("INTERVAL 1 HOUR") <= settled, F.lit(False))
+        counts = (
+            batch.select(hour.alias("hour"))
+            .withColumn("late", late)
+            .groupBy("hour", "late")
+            .agg(F.count("*").alias("processed"))
+        )
+        write_epoch(counts, out, epoch)
+        newest = batch.agg(F.max(F.col("created_at").cast("timestamp_ntz")).alias("seen"))
+        if seen is not None:
+            newest = newest.select(F.greatest("seen", F.lit(seen)).alias("seen"))
+        leave_state(newest, seen_at, epoch)
+
+    return each
+
+
+def hourly_totals(rows: DataFrame) -> DataFrame:
+    """(hour, settled, late, processed) from what `hourly_tick` wrote."""
+    late = F.col("late")
+    return rows.groupBy("hour").agg(
+        F.coalesce(F.sum(F.when(~late, F.col("processed"))), F.lit(0)).alias("settled"),
+        F.coalesce(F.sum(F.when(late, F.col("processed"))), F.lit(0)).alias("late"),
+        F.sum("processed").alias("processed"),
+    )
+
+
 def accepted_attempts(attempts: DataFrame, idle: timedelta | None = None) -> DataFrame:
     """The accepted rows of a stream of attempts (filename, seq, at, released), exactly.
 

@@ -386,13 +386,28 @@ def _(t):
     "J12_keys_of_files",
     LISTING
     + """SELECT f.id AS audio_file_id, l.key, l.length
-FROM listing l JOIN audio_files f
-  ON regexp_extract(l.key, '([^/]+)\\.opus$', 1) = 'v' || f.id""",
+FROM listing l JOIN audio_files f ON l.key = f.s3_opus_path""",
 )
 def _(t):
     return joins.keys_of_files(listing(t), t.audio_files)
 
 
+# Files whose objects are numbered anew in every batch, so a stem is found in many of them.
+@check(
+    "J12_shared_stems",
+    """SELECT id AS audio_file_id, 'processed/' || archive_source || '/' || (id % 50) || '-' || (id // 50) || '/v.opus' AS key,
+       file_size_bytes AS length FROM audio_files""",
+)
+def _(t):
+    path = F.concat(
+        F.lit("processed/"), "archive_source", F.lit("/"), F.col("id") % 50, F.lit("-"),
+        F.expr("id div 50"), F.lit("/v.opus"),
+    )
+    files = t.audio_files.withColumn("s3_opus_path", path)
+    objects = files.select(path.alias("key"), F.col("file_size_bytes").alias("length"))
+    return joins.keys_of_files(objects, files)
+
+
 # --- ranks and limits -----------------------------------------------------------
 
 

@@ -6,7 +6,7 @@ from auricle.functions import scalars as S
 from auricle.operators import aggregates as A
 from auricle.plans import retention, transfer, unpack
 from auricle.session import run_dir
-from auricle.sources import archives, jobs, metadata, objects
+from auricle.sources import archives, jobs, metadata, objects, storage
 from auricle_checks.filter_checks import CONVERSIONS, conversions
 from auricle_checks.filter_checks import metadata as file_metadata
 from auricle_checks.registry import check
@@ -67,9 +67,14 @@ def _(t):
     return transfer.select_sources(event_objects(t), latest_event(t), test=True)
 
 
+def _key(path):
+    return F.concat(F.lit("archives/"), F.substring_index(path, "/", -1))
+
+
 @check("SRC2_audio_stems", "SELECT 'archives/' || batch_id || '.tar' AS path, stem AS meta_id FROM members")
 def _(t):
-    return archives.audio_stems(t.archives)
+    stems = archives.audio_stems(t.archive_files)
+    return stems.select(_key("path").alias("path"), "meta_id")
 
 
 @check(
@@ -89,9 +94,9 @@ def _(t):
 FROM members""",
 )
 def _(t):
-    members = archives.read_members(t.archives)
+    members = archives.read_members(t.archive_files)
     return members.filter(F.col("member_path").startswith("audio/")).select(
-        "path", "member_path", "size", F.sha2("content", 256).alias("digest")
+        _key("path").alias("path"), "member_path", "size", F.sha2("content", 256).alias("digest")
     )
 
 
@@ -212,14 +217,54 @@ def _(t):
     return t.audio_files.select("id", "original_filename", "status", "created_at")
 
 
+# One object for each document, a third of them empty, in folders of which one is named like the
+# root and one like what Spark takes for hidden.
+PLACES = """, placed AS (
+    SELECT CASE doc_id % 4 WHEN 0 THEN 'bucket/a b/' WHEN 1 THEN '_x/1+2%20/' WHEN 2 THEN '' ELSE 'p/q/r/' END
+           || 'd' || doc_id || '.tar' AS key,
+           CASE WHEN doc_id % 3 = 0 THEN 0 ELSE strlen(text) END AS length
+    FROM documents
+)
+"""
+
+
+def placed_objects(t, which=None, root=None, suffix=".tar"):
+    """The folder `bucket` of the objects of PLACES, or of some of them, written by the tasks."""
+    root = root or f"{run_dir(t.spark, 'placed')}/bucket"
+    place = F.col("doc_id") % 4
+    rows = t.raw("documents").select(
+        F.concat(
+            F.when(place == 0, "bucket/a b/").when(place == 1, "_x/1+2%20/").when(place == 2, "").otherwise("p/q/r/"),
+            F.lit("d"), "doc_id", F.lit(suffix),
+        ).alias("key"),
+        F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text")).alias("text"),
+    )
+
+    def put(batches):
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                system, within = storage.resolve(f"{root}/{key}")
+                system.create_dir(within.rpartition("/")[0])
+                with system.open_output_stream(within) as out:
+                    out.write(text.encode())
+            yield batch.select(["key"])
+
+    rows.where(F.lit(True) if which is None else which).mapInArrow(put, "key STRING").count()
+    return root
+
+
+@check("SRC11_object_keys", PLACES + "SELECT key, length FROM placed")
+def _(t):
+    return objects.list_objects(t.spark, placed_objects(t)).select("key", "length")
+
+
 @check(
     "SRC11_object_folders",
-    "SELECT DISTINCT 'created_date=' || strftime(created_at, '%Y-%m-%d') AS folder FROM audio_files",
+    PLACES + "SELECT substr(key, 8) AS key, length FROM placed WHERE key LIKE 'bucket/%'",
 )
 def _(t):
-    t.audio_files  # written as one folder per day
-    listed = objects.list_objects(t.spark, t.path_of("audio_files"), glob="*.parquet")
-    return listed.select(F.element_at(F.split("key", "/"), 1).alias("folder")).distinct()
+    listed = objects.list_objects(t.spark, placed_objects(t), "bucket", "d*.tar")
+    return listed.select(F.substring_index("key", "bucket/", -1).alias("key"), "length")
 
 
 @check(

@@ -281,19 +281,59 @@ def _(t):
 
 @check(
     "ST8_polled_directory",
-    "SELECT DISTINCT 'created_date=' || strftime(created_at, '%Y-%m-%d') AS folder FROM audio_files",
+    source_checks.PLACES
+    + """SELECT key, length, CASE WHEN length = 0 THEN 2 ELSE 1 END AS epoch FROM placed""",
 )
 def _(t):
+    """Four ticks: nothing is old enough, the first objects are, the others have come since (with
+    lock files), and nothing new."""
     out = run_dir(t.spark, "polled")
-    t.audio_files  # written as one folder per day; its files are old enough an hour from now
-    later = datetime.now(timezone.utc) + timedelta(hours=1)
-    each = timers.poll_tick(
-        t.spark, t.path_of("audio_files"), f"{out}/files", lambda: clock.at(later)
+    root = source_checks.placed_objects(t, F.length("text") > 0)
+    start = datetime.now(timezone.utc)
+    moments = [start, start + timedelta(hours=1), start + timedelta(hours=2), start + timedelta(hours=3)]
+    for epoch, moment in enumerate(moments):
+        if epoch == 2:
+            source_checks.placed_objects(t, F.length("text") == 0, root)
+            source_checks.placed_objects(t, F.length("text") == 0, root, ".tar.lock")
+        each = timers.poll_tick(t.spark, root, f"{out}/files", lambda: clock.at(moment))
+        each(None, epoch)
+        each(None, epoch)  # as after a failure
+    return sinks.read_epochs(t.spark, f"{out}/files", "key STRING, length BIGINT")
+
+
+# Events in three micro-batches by user, so each one brings times that the others have passed.
+@check(
+    "ST9_late_rows",
+    """, batches AS (
+    SELECT *, user_id % 3 AS batch, date_trunc('hour', ts) AS hour FROM events
+), seen AS (
+    SELECT b.batch, max(e.ts) AS seen FROM (SELECT DISTINCT batch FROM batches) b
+    LEFT JOIN batches e ON e.batch < b.batch GROUP BY 1
+), judged AS (
+    SELECT hour, coalesce(hour + INTERVAL 1 HOUR <= seen - INTERVAL 2 HOUR, false) AS late
+    FROM batches JOIN seen USING (batch)
+)
+SELECT hour::TIMESTAMP AS hour, count(*) FILTER (NOT late) AS settled, count(*) FILTER (late) AS late,
+       count(*) AS processed FROM judged GROUP BY 1""",
+)
+def _(t):
+    out = run_dir(t.spark, "late")
+    events = t.raw("events").select(F.col("ts").alias("created_at"), (F.col("user_id") % 3).alias("part"))
+    for part in range(3):
+        rows = events.where(F.col("part") == part).select("created_at").coalesce(1)
+        rows.write.mode("append").parquet(f"{out}/files")
+        time.sleep(1.1)  # files are taken up in order of their time
+    stream = (
+        t.spark.readStream.schema("created_at TIMESTAMP_NTZ")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{out}/files")
+    )
+    each = windows.hourly_tick(f"{out}/rows", timedelta(hours=2))
+    sinks.run_to_end(stream, each, f"{out}/checkpoint")
+    rows = sinks.read_epochs(
+        t.spark, f"{out}/rows", "hour TIMESTAMP_NTZ, late BOOLEAN, processed BIGINT"
     )
-    sinks.run_to_end(_ticks(t), each, f"{out}/checkpoint")
-    files = sinks.read_epochs(t.spark, f"{out}/files", "key STRING")
-    names = files.filter(F.col("key").endswith(".parquet"))
-    return names.select(F.element_at(F.split("key", "/"), 1).alias("folder")).distinct()
+    return windows.hourly_totals(rows)
 
 
 @check(
@@ -305,7 +345,7 @@ def _(t):
     t.raw("events").select(F.col("ts").alias("created_at")).write.parquet(f"{out}/files")
     stream = t.spark.readStream.schema("created_at TIMESTAMP_NTZ").parquet(f"{out}/files")
     sinks.run_to_end(
-        windows.hourly_counts(stream),
+        windows.hourly_counts(stream, "1 hour"),
         lambda batch, epoch: sinks.write_epoch(batch, f"{out}/rows", epoch),
         f"{out}/checkpoint",
         "update",

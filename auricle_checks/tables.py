@@ -20,6 +20,8 @@ from auricle import clock
 from auricle.functions import scalars as S
 from auricle.plans.unpack import batch_members
 from auricle.session import run_dir
+from auricle.sources import storage
+from auricle.sources.objects import list_objects
 from auricle.sources.tables import read_table, write_table
 
 
@@ -260,10 +262,33 @@ class Tables:
 
         return self.written("archives", derive)
 
+    @cached_property
+    def archive_files(self) -> DataFrame:
+        """The archives as files below one folder, (path, key, length) as listed."""
+        key = (self.spark.sparkContext.applicationId, self.folder, "archive_files")
+        if key not in _WRITTEN:
+            root = run_dir(self.spark, "archive-files")
+
+            def put(batches):
+                for batch in batches:
+                    paths, contents = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                    for path, content in zip(paths, contents):
+                        system, within = storage.resolve(f"{root}/{path}")
+                        system.create_dir(within.rpartition("/")[0])
+                        with system.open_output_stream(within) as out:
+                            out.write(content)
+                    yield batch.select(["path"])
+
+            self.archives.select("path", "content").mapInArrow(put, "path STRING").count()
+            _WRITTEN[key] = root
+        root = _WRITTEN[key]
+        listed = list_objects(self.spark, root)
+        return listed.select(F.concat(F.lit(f"{root}/"), "key").alias("path"), "key", "length")
+
     @cached_property
     def members(self) -> DataFrame:
         """Extracted members of the archives, metadata content kept."""
-        return self.written("members", lambda: batch_members(self.archives))
+        return self.written("members", lambda: batch_members(self.archive_files))
 
     @cached_property
     def unified_files(self) -> DataFrame:

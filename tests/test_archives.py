@@ -94,6 +94,82 @@ def test_members_and_errors(spark, folder):
     assert [m[0] for m in got["old.tar"]] == ["x.mp3"]
 
 
+def paths(spark, folder):
+    root = f"file:{folder}"
+    listed = objects.list_objects(spark, root)
+    return listed.select(F.concat(F.lit(f"{root}/"), "key").alias("path"))
+
+
+def test_members_by_path_equal_those_of_content(spark, folder):
+    (folder / "empty.tar").write_bytes(b"")
+    (folder / "twice.tar").write_bytes(tar([("a.mp3", b"old"), ("metadata/b.txt", b"m"), ("a.mp3", b"new")]))
+    (folder / "evil.tar").write_bytes(tar([("../../a.mp3", b"x")]))
+    many = [(f"m{k}.txt", b"%d" % k) for k in range(3000)]
+    (folder / "many.tar").write_bytes(tar(many))
+    (folder / "many.tar.gz").write_bytes(tar(many, "w:gz"))
+    columns = ("member_path", "size", "content", "has_metadata_dir", "error")
+    got = by_name(archives.read_members(paths(spark, folder)), *columns)
+    want = by_name(archives.read_members(objects.binary_files(spark, f"file:{folder}")), *columns)
+    del got["empty.tar"]  # binaryFile gives no row for it
+    assert got.keys() == want.keys()
+    for name in want:
+        if want[name][-1][4]:
+            kinds = [r[4].split(":")[0] for r in got[name]]
+            assert kinds == [want[name][-1][4].split(":")[0]], name
+        else:
+            assert sorted(got[name]) == sorted(want[name]), name
+    some = archives.read_members(paths(spark, folder), [".txt"])
+    held = {(r.path.rsplit("/", 1)[1], r.member_path) for r in some.where("content is not null").collect()}
+    assert ("plain.tar", "z.txt") in held and len(held) == 6000 + 6 + 1
+    assert archives.read_members(paths(spark, folder), []).where("content is not null").isEmpty()
+
+
+def test_links_are_followed(spark, tmp_path):
+    for name, mode in (("l.tar", "w"), ("l.tar.gz", "w:gz")):
+        with tarfile.open(tmp_path / name, mode) as out:
+            body = tarfile.TarInfo("a.mp3")
+            body.size = 3
+            out.addfile(body, io.BytesIO(b"abc"))
+            link = tarfile.TarInfo("b.mp3")
+            link.type, link.linkname = tarfile.LNKTYPE, "a.mp3"
+            out.addfile(link)
+    got = by_name(archives.read_members(paths(spark, tmp_path)), "member_path", "content", "error")
+    for name in ("l.tar", "l.tar.gz"):
+        assert sorted(got[name]) == [("a.mp3", b"abc", None), ("b.mp3", b"abc", None)], got
+
+
+def test_archive_over_two_gibibytes(spark, tmp_path):
+    size = 5 << 29  # a hole in a file, which takes no room on disk
+    with open(tmp_path / "large.tar", "wb") as out:
+        for name, length in (("first.txt", 5), ("hole.mp3", size), ("last.txt", 4)):
+            info = tarfile.TarInfo(name)
+            info.size = length
+            out.write(info.tobuf(tarfile.GNU_FORMAT))
+            if length < 512:
+                out.write(name.encode()[:length].ljust(512, b"\0"))
+            else:
+                out.seek(length, 1)
+        out.write(b"\0" * 1024)
+    members = archives.read_members(paths(spark, tmp_path), [".txt"])
+    got = {r.member_path: (r.size, r.content and bytes(r.content)) for r in members.collect()}
+    assert got == {"first.txt": (5, b"first"), "hole.mp3": (size, None), "last.txt": (4, b"last")}
+    assert values(archives.audio_stems(paths(spark, tmp_path)), "meta_id") == [("hole",)]
+
+
+def test_keys_are_cut_by_the_length_of_the_root(spark, tmp_path):
+    root = tmp_path / "R"
+    inner = root / "x" / "R"
+    inner.mkdir(parents=True)
+    (inner / "b.tar").write_bytes(b"")
+    (root / ".hidden").write_bytes(b"1")
+    (root / "_also").mkdir()
+    (root / "_also" / "c:d%20 +.tar").write_bytes(b"12")
+    got = values(objects.list_objects(spark, f"file:{root}"), "key", "length")
+    assert got == [(".hidden", 1), ("_also/c:d%20 +.tar", 2), ("x/R/b.tar", 0)]
+    assert objects.list_objects(spark, f"file:{root}", "none").collect() == []
+    assert values(objects.list_objects(spark, f"file:{root}/", "x/", "*.t[ab]r"), "key") == [("x/R/b.tar",)]
+
+
 def test_stems_take_any_case_but_audio_members_two(spark, folder):
     one = objects.binary_files(spark, f"file:{folder}/plain.tar")
     assert values(archives.audio_stems(one), "meta_id") == [("x",), ("x",), ("y",)]

@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 """Windows, reports and the transfer cycle on hand-made rows."""
 
 from datetime import datetime, timedelta
@@ -150,3 +151,19 @@ def test_stuck_batches(rows):
                     [("old", 1, 2, NOW - timedelta(minutes=121)), ("edge", 1, 2, NOW - timedelta(minutes=120)),
                      ("done", 2, 2, NOW - timedelta(days=1)), ("none", 1, None, NOW - timedelta(days=1))])
     assert values(reports.stuck_batches(progress, clock.at(NOW)), "batch_id") == [("old",)]
+
+
+def test_child_bound_reaches_the_scan(spark, tmp_path):
+    from auricle.operators import filters
+
+    rows = spark.range(1_000_000).select(F.col("id").alias("audio_file_id"), F.rand(1).alias("x"))
+    rows.coalesce(1).write.option("parquet.block.size", 1 << 20).parquet(f"{tmp_path}/c")
+    spark.range(990_000, 1_000_000).write.parquet(f"{tmp_path}/f")
+    child, files = spark.read.parquet(f"{tmp_path}/c"), spark.read.parquet(f"{tmp_path}/f")
+    bounded = filters.within_ids(child, files)
+    assert bounded.count() == 10_000
+    scan = bounded._jdf.queryExecution().executedPlan()
+    while "Scan" not in scan.nodeName():
+        scan = scan.executedPlan() if "Adaptive" in scan.nodeName() else scan.children().apply(0)
+    bounded._jdf.collectToPython()
+    assert scan.metrics().apply("numOutputRows").value() < 300_000

@@ -177,6 +177,34 @@ def test_poll_emits_each_file_once_when_old_enough(spark, tmp_path):
     each(None, 1)
     each(None, 1)  # a retried tick
     assert values(spark.read.parquet(out), "key", "epoch") == [("old.tar", 0), ("young.tar", 1)]
+    os.utime(folder / "old.tar", (time.time() + 600, time.time() + 600))
+    late = folder / "late.tar"
+    late.write_bytes(b"")
+    os.utime(late, (1_000_000_000, 1_000_000_000))  # came in with an old time
+    for epoch in (2, 3):
+        each(None, epoch)
+    now[0] += timedelta(hours=1)
+    each(None, 4)
+    found = values(spark.read.parquet(out).where("epoch > 1"), "key", "epoch")
+    assert found == [("late.tar", 2), ("old.tar", 2)]
+    assert sorted(os.listdir(f"{out}-known")) == ["epoch=3", "epoch=4"]
+
+
+def test_late_rows_correct_their_hour(spark, rows, tmp_path):
+    from datetime import datetime, timedelta
+
+    each = windows.hourly_tick(f"{tmp_path}/out", timedelta(hours=1))
+    day = datetime(2025, 1, 1)
+    batches = [[0, 5], [1, 5, 4, None], [0], [9, 4]]
+    for epoch, hours in enumerate(batches):
+        data = [(None if h is None else day + timedelta(hours=h, minutes=30),) for h in hours]
+        batch = rows("created_at TIMESTAMP_NTZ", data)
+        each(batch, epoch)
+        each(batch, epoch)  # a retried epoch
+    found = windows.hourly_totals(spark.read.parquet(f"{tmp_path}/out"))
+    got = {r.hour and r.hour.hour: (r.settled, r.late, r.processed) for r in found.collect()}
+    # 5:30 has been seen, so hours up to 3 are late
+    assert got == {0: (1, 1, 2), 5: (2, 0, 2), 1: (0, 1, 1), 4: (2, 0, 2), None: (1, 0, 1), 9: (1, 0, 1)}
 
 
 @pytest.mark.parametrize("limit", [1, 5])
