@@ -35,8 +35,12 @@ UNKNOWN = "und"
 SLICE = 4 << 20
 SUFFIXES = 1_000_000
 BATCH = 2000
-#: Bits of the filter of frequent words; its false positives cost sorting, not results.
+#: Bits of the filter of frequent words, and the most that the filter of frequent pairs has; their
+#: false positives cost sorting, not results.
 FILTER_BITS = 1 << 24
+PAIR_BITS = 1 << 27
+#: Pair occurrences for each of its bits, below that size; far fewer than make a phrase.
+LOAD = 8
 #: No word holds a tab, so it ends each word of a suffix: what begins with the same words begins
 #: with the same characters.
 END = "\t"
@@ -86,55 +90,98 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def _hashes(words: list[bytes], lang: str) -> np.ndarray:
     seed = zlib.crc32(f"{lang}{END}".encode())
     hashes = (zlib.crc32(word, seed) for word in words)
-    return np.fromiter(hashes, dtype=np.int64, count=len(words)) % FILTER_BITS
+    return np.fromiter(hashes, dtype=np.int64, count=len(words))
 
 
-def _filter(words: DataFrame) -> np.ndarray:
-    """A bitmap of FILTER_BITS of the words(lang, word) given, however many. Spark sets the bits; the
-    driver receives FILTER_BITS / 64 numbers at most."""
-    at = F.crc32(F.encode(F.concat("lang", F.lit(END), "word"), "UTF-8")) % FILTER_BITS
+def _filter(places: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap with the given places(at) set, however many. Spark sets the bits; the driver receives
+    bits / 64 numbers at most."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))
     rows = (
-        words.select(at.alias("at"))
-        .groupBy(F.floor(F.col("at") / 64).cast("int").alias("place"))
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))).alias("bits"))
+        places.groupBy(F.floor(F.col("at") / 64).cast("int").alias("place"))
+        .agg(F.bit_or(bit).alias("bits"))
         .toArrow()
     )
-    out = np.zeros(FILTER_BITS // 64, dtype="<i8")
+    out = np.zeros(-(-bits // 64), dtype="<i8")
     out[rows["place"].to_numpy()] = rows["bits"].to_numpy()
     return out.view(np.uint8)
 
 
-def suffixes(docs: DataFrame, frequent: np.ndarray, least: int = 2) -> DataFrame:
-    """(lang, suffix, n): the up to LONGEST words from each word of each piece on, END after each,
-    cut at the first word that is not in the filter; those of at least `least` words. Suffixes that
-    occur again in the texts a task holds are one row with their count."""
+def _held(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bitmap[at >> 3] >> (at & 7)) & 1 == 1
+
+
+class _Coded:
+    """Texts of one language as numbers of their distinct words, pieces apart."""
+
+    def __init__(self, lang: str, texts: list[bytes], frequent: np.ndarray):
+        joined = b"\n".join(texts).replace(b"\t", b" ")
+        words = BREAKS.sub(b" \n ", joined).split(b" ")
+        coded = pa.array(words, pa.binary()).dictionary_encode()
+        del words
+        self.words: list[bytes] = coded.dictionary.to_pylist()
+        self.hashes = _hashes(self.words, lang)
+        marks = np.array([word in (b"", b"\n") for word in self.words])
+        good = _held(frequent, self.hashes % FILTER_BITS) & ~marks
+        blank = np.array([word == b"" for word in self.words])
+        ids = coded.indices.to_numpy()
+        self.ids = ids[~blank[ids]] if blank.any() else ids
+        self.good = good[self.ids]
+
+    def pairs(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where a frequent word follows another, and the place in the filter of each such pair."""
+        at = np.flatnonzero(self.good[:-1] & self.good[1:])
+        mixed = self.hashes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        first, second = mixed[self.ids[at]], self.hashes[self.ids[at + 1]].astype(np.uint64)
+        mixed = (first ^ (first >> np.uint64(29)) ^ second) * np.uint64(0xBF58476D1CE4E5B9)
+        return at, ((mixed >> np.uint64(32)) % np.uint64(bits)).astype(np.int64)
+
+
+def _pair_filter(docs: DataFrame, frequent: np.ndarray, bits: int, least: int) -> np.ndarray:
+    """A bitmap of the places at which pairs of frequent words fall that occur `least` times together
+    with all others of the same place."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # FILTER_BITS / 8 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, texts in _by_lang(batch):
-                joined = b"\n".join(texts).replace(b"\t", b" ")
-                words = BREAKS.sub(b" \n ", joined).split(b" ")
-                coded = pa.array(words, pa.binary()).dictionary_encode()
-                known = coded.dictionary.to_pylist()
-                at = _hashes(known, lang)
-                good = (shared.value[at >> 3] >> (at & 7)) & 1 == 1
-                good &= np.array([word not in (b"", b"\n") for word in known])
-                yield from emit(lang, coded.indices.to_numpy(), known, good)
-
-    def emit(lang: str, ids: np.ndarray, known: list[bytes], good: np.ndarray):
-        blank = np.array([word == b"" for word in known])
-        ids = ids[~blank[ids]] if blank.any() else ids
-        reach = _runs(good[ids])
-        starts = np.flatnonzero(reach >= least)
+                _, places = _Coded(lang, texts, shared.value).pairs(bits)
+                at, n = np.unique(places, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], names=["at", "n"]
+                )
+
+    counted = _texts(docs).mapInArrow(run, "at int, n int").groupBy("at").agg(F.sum("n").alias("n"))
+    return _filter(counted.where(F.col("n") >= least), bits)
+
+
+def suffixes(docs: DataFrame, frequent: np.ndarray, pairs: np.ndarray, bits: int) -> DataFrame:
+    """(lang, suffix, n): the up to LONGEST words from each word of each piece on, END after each,
+    cut before the first word that is not frequent or makes no frequent pair; those of two words at
+    least. Suffixes that occur again in the texts a task holds are one row with their count."""
+    shared = docs.sparkSession.sparkContext.broadcast((frequent, pairs))  # two bitmaps
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, together = shared.value
+        for batch in batches:
+            for lang, texts in _by_lang(batch):
+                coded = _Coded(lang, texts, words)
+                at, places = coded.pairs(bits)
+                linked = np.zeros(len(coded.ids), dtype=bool)
+                linked[at[_held(together, places)]] = True
+                yield from emit(lang, coded, linked)
+
+    def emit(lang: str, coded: _Coded, linked: np.ndarray) -> Iterator[pa.RecordBatch]:
+        reach = _runs(linked) + 1
+        starts = np.flatnonzero(linked)
         if not len(starts):
             return
         # words are numbered from one on; nought stands for none
-        padded = np.append(ids + 1, np.zeros(LONGEST, dtype=ids.dtype))
+        padded = np.append(coded.ids + 1, np.zeros(LONGEST, dtype=coded.ids.dtype))
         rows = padded[starts[:, None] + np.arange(LONGEST)]
         rows[np.arange(LONGEST) >= reach[starts][:, None]] = 0
         rows, counts = _distinct_rows(rows)
-        ended = pa.array([b"", *(word + END.encode() for word in known)], pa.binary())
+        ended = pa.array([b"", *(word + END.encode() for word in coded.words)], pa.binary())
         columns = [ended.take(pa.array(rows[:, k])) for k in range(LONGEST)]
         joined = pc.binary_join_element_wise(*columns, pa.scalar(b"", pa.binary()))
         for low in range(0, len(rows), 50_000):
@@ -151,12 +198,12 @@ def suffixes(docs: DataFrame, frequent: np.ndarray, least: int = 2) -> DataFrame
     return _texts(docs).mapInArrow(run, "lang string, suffix string, n long")
 
 
-def _runs(good: np.ndarray) -> np.ndarray:
-    """How many good words follow from each place on, itself included, LONGEST at most."""
-    reach = np.zeros(len(good) + 1, dtype=np.int64)
-    for _ in range(LONGEST):
-        reach[:-1] = np.where(good, reach[1:] + 1, 0)
-    return np.minimum(reach[:-1], LONGEST)
+def _runs(linked: np.ndarray) -> np.ndarray:
+    """How many links follow from each place on, itself included, LONGEST - 1 at most."""
+    reach = np.zeros(len(linked) + 1, dtype=np.int64)
+    for _ in range(LONGEST - 1):
+        reach[:-1] = np.where(linked, reach[1:] + 1, 0)
+    return reach[:-1]
 
 
 def _distinct_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -264,15 +311,18 @@ def phrase_counts(
 ) -> DataFrame:
     """(lang, words, a): the phrases of 2 to LONGEST words that occur `least` times, by language.
 
-    singles: the counts of all words. A phrase is no more frequent than its words, so suffixes end
-    before the first rarer one.
+    singles: the counts of all words. A phrase is no more frequent than its words and pairs, so
+    suffixes end before the first rarer one.
     """
     spark = docs.sparkSession
     total = singles.agg(F.sum("n")).first()[0] or 0
-    frequent = _filter(singles.where(F.col("n") >= least))
+    at = F.crc32(F.encode(F.concat("lang", F.lit(END), "word"), "UTF-8")) % FILTER_BITS
+    frequent = _filter(singles.where(F.col("n") >= least).select(at.alias("at")), FILTER_BITS)
+    bits = min(PAIR_BITS, max(1 << 16, 1 << (total // LOAD).bit_length()))
     with arrow_rows(spark, BATCH):
+        pairs = _pair_filter(docs, frequent, bits, least)
         ranges = max(spark.sparkContext.defaultParallelism, -(-total // per_task))
-        dealt = suffixes(docs, frequent).repartitionByRange(ranges, "lang", "suffix")
+        dealt = suffixes(docs, frequent, pairs, bits).repartitionByRange(ranges, "lang", "suffix")
         counted = dealt.mapInArrow(
             lambda batches: _count_sorted(batches, least),
             "lang string, words array<string>, a long",
@@ -359,7 +409,7 @@ WITH pieces AS (
         '[.,;:!?\x0A-\x0D]')) AS piece
     FROM documents WHERE text IS NOT NULL
 ), worded AS (
-    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), w -> w <> '') AS words
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words
     FROM pieces
 ), started AS (
     SELECT lang, words, unnest(range(1, len(words) + 1)) AS p FROM worded

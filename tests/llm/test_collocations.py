@@ -70,6 +70,7 @@ def test_equal_to_brute_force(docs, per_task):
 @pytest.mark.parametrize("bits", [64, 1 << 24])
 def test_filter_of_any_size_changes_no_row(docs, monkeypatch, bits):
     monkeypatch.setattr(collocations, "FILTER_BITS", bits)
+    monkeypatch.setattr(collocations, "PAIR_BITS", bits)
     rows = texts(5)[:60]
     assert as_rows(collocations.collocations(docs(rows), 5, 1000)) == brute(rows, 5, 1000)
 
