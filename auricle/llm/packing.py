@@ -18,12 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from auricle.llm.common import shuffle_width, slices, stage
+from auricle.llm.common import arrow_rows, lean, shuffle_width, slices, stage
 from auricle.llm.subwords import encoder
 
 CAPACITY = 1024
 END_ID = 2
 SLICE = 16 << 20
+#: Documents in an Arrow batch.
+BATCH = 5000
 
 
 def token_pieces(
@@ -68,7 +70,7 @@ def token_pieces(
                 )
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    return narrow.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
+    return narrow.mapInArrow(lean(run), "doc_id long, piece int, start long, length long, ids binary")
 
 
 @dataclass
@@ -213,5 +215,6 @@ def digests(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFr
     """The packing with a checksum in place of the ids: (doc_id, piece, start, length, ids_crc32,
     sequence_id, offset), one row per piece of every document."""
     pieces = token_pieces(docs, tokenizer, capacity)
-    narrow = stage(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
+    with arrow_rows(docs.sparkSession, BATCH):
+        narrow = stage(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
     return pack(narrow, capacity)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auricle.llm.common import fold, stage
+from auricle.llm.common import fold, lean, stage
 
 FOLDS = 4
 HELD_OUT = 2
@@ -90,7 +90,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
             )
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    return narrow.mapInArrow(run, "doc_id long, x array<double>")
+    return narrow.mapInArrow(lean(run), "doc_id long, x array<double>")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:

@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from auricle.llm.common import components, stage
+from auricle.llm.common import arrow_rows, components, lean, stage
 
 SEED = 42
 BITS = 64
 #: Buckets up to this size are compared pair by pair; members of larger ones take another exact way.
 PAIRED = 64
 CHUNK = 1 << 16
+#: Documents in an Arrow batch.
+BATCH = 2000
 
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
@@ -60,7 +62,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             )
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    return narrow.mapInArrow(run, "doc_id long, bits long")
+    return narrow.mapInArrow(lean(run), "doc_id long, bits long")
 
 
 def segment_masks(max_bits: int) -> list[int]:
@@ -137,7 +139,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     counts as empty; a row with a null id takes part, its group's smallest id is taken over the
     others (null if there is none). An empty table gives no rows; other columns are ignored.
     """
-    marked = stage(fingerprints(docs, shingle), "simhash")
+    with arrow_rows(docs.sparkSession, BATCH):
+        marked = stage(fingerprints(docs, shingle), "simhash")
     nodes = marked.groupBy("bits").agg(F.min("doc_id").alias("smallest"))
     roots = components(links(nodes.select("bits"), max_bits))
     grouped = nodes.join(roots.withColumnRenamed("node", "bits"), "bits", "left").withColumn(
@@ -151,15 +154,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
 def one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """The rows of docs whose id is the smallest of its near-duplicate group; columns unchanged.
 
-    Of several rows with that id one stays. Rows with a null id cannot be named by a group and stay.
+    Of several rows with that id the one with the least hash of all its columns stays. Rows with a
+    null id cannot be named by a group and stay.
     """
     found = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits)
-    heads = stage(
-        found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")),
-        "heads",
+    heads = found.where("doc_id = component_id").select("doc_id").distinct()
+    columns = [f"`{name}`" for name in docs.columns]
+    row = F.xxhash64(*columns)
+    least = docs.select("doc_id", row.alias("__row")).groupBy("doc_id").agg(
+        F.min("__row").alias("__row"), F.count("*").alias("__rows")
     )
-    single = docs.join(heads.where("n = 1").select("doc_id"), "doc_id", "left_semi")
-    again = docs.join(heads.where("n > 1").select("doc_id"), "doc_id", "left_semi")
-    once = again.dropDuplicates(["doc_id"])
+    kept = stage(heads.join(least, "doc_id"), "heads")
+    # joined the same way at every size: the texts are shuffled once, and no list is broadcast
+    joined = docs.withColumn("__row", row).join(kept.hint("merge"), ["doc_id", "__row"])
+    # rows that are equal in all columns still stand side by side
+    once = joined.where("__rows > 1").dropDuplicates(["doc_id"])
     nameless = docs.where(F.col("doc_id").isNull())
-    return single.union(once).union(nameless).select(docs.columns)
+    return (
+        joined.where("__rows = 1").select(columns).union(once.select(columns)).union(nameless)
+    )

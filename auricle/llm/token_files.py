@@ -16,14 +16,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auricle.llm.common import arrow_rows, release, slices
+from auricle.llm.common import arrow_rows, lean, release, slices
 from auricle.llm.subwords import spaced_encoder
 
 END_ID = 2
 #: Encoded text that a task holds at a time, bytes.
-SLICE = 8 << 20
+SLICE = 16 << 20
 #: Documents in an Arrow batch.
-BATCH = 2000
+BATCH = 5000
 #: Rows of the input for one file; files are the unit that the writing tasks share.
 DOCS_PER_FILE = 100_000
 #: ORC settings. Stripes are what a reader takes as a unit, a row group is what an index entry and
@@ -92,7 +92,7 @@ def write_tokens(
     with arrow_rows(spark, BATCH):
         (
             ordered.select("doc_id", "text")
-            .mapInArrow(encode, SCHEMA)
+            .mapInArrow(lean(encode), SCHEMA)
             .write.option("orc.bloom.filter.columns", "doc_id")
             .option("orc.bloom.filter.fpp", str(BLOOM_FPP))
             .option("orc.create.index", "true")

@@ -29,7 +29,7 @@ def test_stage_queries_are_the_operators():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality", "near_duplicates", "decontamination", "personal_data", "packing",
     ]
-    assert len(QUERIES) == 10 and corpus_pipeline.ORACLE_SQL is None and tokenizer_path()
+    assert len(QUERIES) == 13 and corpus_pipeline.ORACLE_SQL is None and tokenizer_path()
 
 
 def test_stages_on_an_empty_table(spark):

@@ -87,3 +87,15 @@ def test_one_document_of_each_group_stays(odd):
     kept = simhash.one_per_group(odd)
     assert kept.columns == odd.columns
     assert ids(kept) == [1, 3, 6, 8, 9, 10, 11, 12, None]
+
+
+def test_the_row_kept_of_one_id_does_not_depend_on_order(docs):
+    rows = [(1, f"text number {k} of one id that differs from all the others", "en") for k in range(20)]
+    rows += [(2, "a b c d e f", "en"), (2, "a b c d e f", "en"), (3, "a b c d e f", "fr"), (None, "x", None)]
+    kept = []
+    for order in (rows, rows[::-1]):
+        found = simhash.one_per_group(docs(order))
+        assert found.columns == docs(order).columns
+        kept.append(sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=str))
+    assert kept[0] == kept[1]
+    assert [k for k, _ in kept[0]] == [1, 2, None]
