@@ -11,7 +11,7 @@ from auricle.plans import reports
 from auricle.session import run_dir
 from auricle.sources import jobs
 from auricle.streaming import jobs as job_streams
-from auricle.streaming import progress, sinks, timers, windows
+from auricle.streaming import ordered, progress, sinks, timers, windows
 from auricle_checks import plan_checks, source_checks
 from auricle_checks.registry import check
 from auricle_checks.sync_checks import SYNC_SUMMARY
@@ -224,6 +224,40 @@ def _(t):
     return _lease_stream(t).select("filename", "seq")
 
 
+@check("ST5_shuffled_lease_stream", LEASES, whole=True)
+def _(t):
+    """The attempts in three micro-batches by a hash, so each one brings times that others have
+    passed, and a last one that moves the clock on."""
+    out = run_dir(t.spark, "shuffled-leases")
+    attempts = _lease_attempts(t)
+    first, last = attempts.agg(F.min("at"), F.max("at")).first()
+    after = attempts.limit(1).select(
+        F.lit(None).cast("string").alias("filename"),
+        "seq",
+        F.lit(last + 2 * (last - first) + timedelta(hours=3)).cast("timestamp_ntz").alias("at"),
+        "released",
+    )
+    part = F.pmod(F.xxhash64("seq"), F.lit(3))
+    for rows in [*(attempts.where(part == k) for k in range(3)), after]:
+        rows.coalesce(1).write.mode("append").parquet(f"{out}/attempts")
+        time.sleep(1.1)  # files are taken up in order of their time
+    stream = (
+        t.spark.readStream.schema(
+            "filename STRING, seq BIGINT, at TIMESTAMP_NTZ, released BOOLEAN"
+        )
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{out}/attempts")
+    )
+    sinks.run_to_end(
+        ordered.accepted_attempts(stream, last - first + timedelta(hours=1), timedelta(days=7)),
+        lambda batch, epoch: sinks.write_epoch(batch, f"{out}/rows", epoch),
+        f"{out}/checkpoint",
+    )
+    return sinks.read_epochs(t.spark, f"{out}/rows", "filename STRING, seq BIGINT").select(
+        "filename", "seq"
+    )
+
+
 @check(
     "ST5_first_attempt_stream",
     """SELECT 'u' || user_id AS filename, min(ts) AS at, arg_min(event_id, (ts, event_id)) AS seq
