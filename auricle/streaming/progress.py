@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 # How long state outlives completion, and when a batch counts as stuck.
@@ -15,21 +17,78 @@ STUCK_MS = 120 * 60_000
 
 _SIGNAL = "batch_id STRING, total BIGINT, processed BIGINT"
 _EVENT = "batch_id STRING, event STRING, total BIGINT, processed BIGINT"
+_COUNTS = "total BIGINT, processed BIGINT"
 _STATE = "total BIGINT, processed BIGINT, first_seen BIGINT, done BOOLEAN, stuck BOOLEAN"
 
 
-def running_counts(attempts: DataFrame) -> DataFrame:
-    """Processed items per batch so far (update mode); successes and failures both count."""
-    return attempts.groupBy("batch_id").agg(F.count("*").alias("processed"))
+class Progress(StatefulProcessor):
+    """Counts of one batch: the value state `open` until it is complete, then `done`, each forgotten
+    by its time to live when no more signals come."""
 
+    def __init__(self, keep_ms: int | None, forget_ms: int | None) -> None:
+        self.keep_ms, self.forget_ms = keep_ms, forget_ms
 
-def with_totals(counts: DataFrame, totals: DataFrame) -> DataFrame:
-    """Counts against the batch totals; a batch without a total is never complete."""
-    return counts.join(totals.select("batch_id", "total"), "batch_id", "left").withColumn(
-        "complete", F.coalesce(F.col("processed") >= F.col("total"), F.lit(False))
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open = handle.getValueState("open", _COUNTS, self.forget_ms)
+        self.done = handle.getValueState("done", _COUNTS, self.keep_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = self.done if self.done.exists() else self.open
+        total, processed = held.get() if held.exists() else (None, 0)
+        for frame in rows:
+            processed += int(frame["processed"].sum())
+            given = frame["total"].dropna()
+            if len(given):
+                total = int(given.max())
+        complete = total is not None and processed >= total
+        if complete:
+            self.open.clear()
+        (self.done if complete or held is self.done else self.open).update((total, processed))
+        yield pd.DataFrame(
+            {
+                "batch_id": [key[0]],
+                "total": pd.array([total], dtype="Int64"),
+                "processed": [processed],
+                "complete": [complete],
+            }
+        )
+
+    def close(self) -> None:
+        pass
+
+
+def running_progress(
+    signal_stream: DataFrame,
+    keep_done: timedelta = timedelta(milliseconds=KEEP_DONE_MS),
+    forget: timedelta = timedelta(days=1),
+    timers: bool = True,
+) -> DataFrame:
+    """(batch_id, total, processed, complete) of each batch with signals in a micro-batch, so far.
+
+    Successes and failures both count; a batch without a total is never complete. A complete batch is
+    forgotten once no signal has come for `keep_done`, another one after `forget`, in processing time;
+    so the state holds the batches under way, not all there ever were. A signal after that begins
+    anew. Such a query runs until stopped; without `timers` it can work off its input and end, and
+    then forgets nothing. Signals are summed inside each task before the shuffle. Signals without a
+    batch are left out.
+    """
+    ttl = [int(t.total_seconds() * 1000) if timers else None for t in (keep_done, forget)]
+    combined = signal_stream.where("batch_id is not null").mapInPandas(_combine, _SIGNAL)
+    return combined.groupBy("batch_id").transformWithStateInPandas(
+        Progress(*ttl),
+        "batch_id STRING, total BIGINT, processed BIGINT, complete BOOLEAN",
+        "Append",
+        "ProcessingTime" if timers else "None",
     )
 
 
+def newest_progress(rows: DataFrame) -> DataFrame:
+    """The last counts of each batch from rows of `running_progress` with their epoch."""
+    names = ["total", "processed", "complete"]
+    last = rows.groupBy("batch_id").agg(F.max_by(F.struct(*names), "epoch").alias("last"))
+    return last.select("batch_id", "last.*")
+
+
 def signals(attempts: DataFrame, totals: DataFrame) -> DataFrame:
     """One stream of (batch_id, total, processed) from the totals and the attempted items."""
     done = attempts.select(

@@ -111,6 +111,13 @@ def _attempt_stream(t):
     )
 
 
+def _signal_stream(t, out):
+    """The attempts and the totals, which are written below `out`, as one stream of signals."""
+    _totals(t).coalesce(1).write.parquet(f"{out}/totals")
+    totals = t.spark.readStream.schema("batch_id STRING, total BIGINT").parquet(f"{out}/totals")
+    return progress.signals(_attempt_stream(t), totals)
+
+
 def _ticks(t):
     """A stream of two micro-batches that only sets the pace."""
     path = run_dir(t.spark, "ticks")
@@ -128,17 +135,14 @@ FROM attempts LEFT JOIN totals USING (batch_id)""",
 )
 def _(t):
     out = run_dir(t.spark, "progress")
-    counts = progress.running_counts(_attempt_stream(t))
+    counts = progress.running_progress(_signal_stream(t, out), timers=False)
     sinks.run_to_end(
         counts,
         lambda batch, epoch: sinks.write_epoch(batch, f"{out}/rows", epoch),
         f"{out}/checkpoint",
-        "update",
-    )
-    rows = sinks.read_epochs(t.spark, f"{out}/rows", "batch_id STRING, processed BIGINT")
-    return progress.with_totals(
-        sinks.newest_per_key(rows, ["batch_id"], "processed"), _totals(t)
     )
+    schema = "batch_id STRING, total BIGINT, processed BIGINT, complete BOOLEAN"
+    return progress.newest_progress(sinks.read_epochs(t.spark, f"{out}/rows", schema))
 
 
 @check(
@@ -149,9 +153,7 @@ WHERE processed >= total""",
 )
 def _(t):
     out = run_dir(t.spark, "completion")
-    _totals(t).coalesce(1).write.parquet(f"{out}/totals")
-    totals = t.spark.readStream.schema("batch_id STRING, total BIGINT").parquet(f"{out}/totals")
-    events = progress.batch_events(progress.signals(_attempt_stream(t), totals), timers=False)
+    events = progress.batch_events(_signal_stream(t, out), timers=False)
     sinks.run_to_end(
         events,
         lambda batch, epoch: sinks.write_epoch(batch, f"{out}/events", epoch),
