@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from auricle import clock
@@ -50,6 +50,23 @@ def split_valid(messages: DataFrame, required: list[str]) -> tuple[DataFrame, Da
     return messages.filter(present), messages.filter(~present)
 
 
+def counted_validity(
+    messages: DataFrame, required: list[str], into: Observation | str
+) -> DataFrame:
+    """The messages with `valid`, presence of all required fields; accepted and rejected ones are
+    counted by the pass that writes them.
+
+    A batch takes an `Observation`, whose `get` has the counts once the rows are written; a stream
+    takes a name, under which the progress of each micro-batch has them.
+    """
+    present = F.lit(True)
+    for name in required:
+        present = present & F.col(name).isNotNull()
+    return messages.withColumn("valid", present).observe(
+        into, F.count_if("valid").alias("accepted"), F.count_if(~F.col("valid")).alias("rejected")
+    )
+
+
 def validity_counts(messages: DataFrame, required: list[str]) -> DataFrame:
     """One row: accepted and rejected messages."""
     present = F.lit(True)

@@ -1,11 +1,13 @@
 """Filters, projections, joins, ranks, limits and set operations."""
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from auricle import clock
 from auricle.functions import scalars as S
 from auricle.operators import filters, joins, ranking, sets
 from auricle.plans import queues
+from auricle.session import run_dir
 from auricle_checks.aggregate_checks import READY
 from auricle_checks.queue_checks import PENDING
 from auricle_checks.registry import check
@@ -142,6 +144,23 @@ def _(t):
     return filters.validity_counts(t.audio_files, ["s3_opus_path", "created_at"])
 
 
+@check(
+    "F11_counted_while_written",
+    """SELECT s3_opus_path IS NOT NULL AND created_at IS NOT NULL AS valid, count(*) AS n,
+       count(*) AS counted FROM audio_files GROUP BY 1""",
+)
+def _(t):
+    """Rows written once, by verdict; what was written beside what was counted on the way."""
+    out = run_dir(t.spark, "validity")
+    seen = Observation("validity")
+    rows = filters.counted_validity(t.audio_files, ["s3_opus_path", "created_at"], seen)
+    rows.select("id", "valid").write.partitionBy("valid").parquet(out)
+    counts = [(True, seen.get["accepted"]), (False, seen.get["rejected"])]
+    counted = t.spark.createDataFrame(counts, "valid BOOLEAN, counted BIGINT")
+    written = t.spark.read.schema("id BIGINT, valid BOOLEAN").parquet(out)
+    return written.groupBy("valid").agg(F.count("*").alias("n")).join(counted, "valid")
+
+
 @check("F12_renamed_columns", READY)
 def _(t):
     return queues.ready_for_sync(t.unified_files, t.transcripts, t.classifications)
