@@ -11,7 +11,7 @@ from auricle.plans import reports
 from auricle.session import run_dir
 from auricle.sources import jobs
 from auricle.streaming import jobs as job_streams
-from auricle.streaming import ordered, progress, sinks, timers, windows
+from auricle.streaming import batched, ordered, progress, sinks, timers, windows
 from auricle_checks import plan_checks, source_checks
 from auricle_checks.registry import check
 from auricle_checks.sync_checks import SYNC_SUMMARY
@@ -56,6 +56,31 @@ def _(t):
     )
 
 
+@check(
+    "ST1_counted_batches",
+    source_checks.MESSAGES
+    + """, jobs AS (
+    SELECT row_number() OVER (ORDER BY doc_id) - 1 AS place FROM messages
+    WHERE event_type NOT IN ('error', 'signup')
+)
+SELECT place // 100 AS epoch, count(*) AS jobs FROM jobs GROUP BY epoch""",
+)
+def _(t):
+    queue, out = run_dir(t.spark, "queue"), run_dir(t.spark, "counted-stream")
+    one_line = F.translate("value", "\r\n", "  ").alias("value")
+    jobs.write_messages(source_checks.messages(t).select(one_line), queue)
+    stream = batched.job_batches(
+        t.spark, queue, batch_size=100, first_wait=1, next_wait=0.2, settle=0
+    )
+    query = sinks.run(stream, job_streams.route_transcribe(out), f"{out}/checkpoint", every="0 seconds")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = sinks.read_epochs(t.spark, f"{out}/jobs", "batch_id STRING")
+    return rows.groupBy("epoch").agg(F.count("*").alias("jobs"))
+
+
 @check(
     "ST2_routed_jobs",
     source_checks.MESSAGES
