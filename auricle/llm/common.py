@@ -53,18 +53,23 @@ def lean(run: Callable[[Iterator[Any]], Iterator[Any]]) -> Callable[[Iterator[An
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            if sys.platform == "linux":
-                ctypes.CDLL(None).malloc_trim(0)
+            trim()
 
     return wrapped
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of frames that nothing refers to any more, which it does
-    once the driver has collected its garbage."""
+def trim() -> None:
+    """Gives freed memory of this Python process back to the system."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files and broadcasts of frames that nothing refers to any more,
+    which it does once the driver has collected its garbage; the driver gives memory back too."""
+    trim()
     spark._jvm.System.gc()
 
 

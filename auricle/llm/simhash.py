@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from auricle.llm.common import arrow_rows, components, lean, stage
+from auricle.llm.common import arrow_rows, components, lean, release, stage
 
 SEED = 42
 BITS = 64
@@ -143,6 +143,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
         marked = stage(fingerprints(docs, shingle), "simhash")
     nodes = marked.groupBy("bits").agg(F.min("doc_id").alias("smallest"))
     roots = components(links(nodes.select("bits"), max_bits))
+    release(docs.sparkSession)
     grouped = nodes.join(roots.withColumnRenamed("node", "bits"), "bits", "left").withColumn(
         "root", F.coalesce("root", "bits")
     )

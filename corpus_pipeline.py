@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from auricle.llm import decontamination, packing, pii, quality, simhash
-from auricle.llm.common import stage, table
+from auricle.llm.common import release, stage, table
 from auricle.llm.registry import tokenizer_path
 
 
@@ -50,4 +50,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, apply in STAGES[:-1]:
         docs = stage(apply(spark, docs, sf_dir), name)
+        release(spark)  # what the stage left behind is not needed by the next
     return STAGES[-1][1](spark, docs, sf_dir)
