@@ -9,10 +9,11 @@ from operator import eq
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auricle.llm.common import fold, lean, stage
+from auricle.llm.common import fold, lean, shuffle_width, stage
 
 FOLDS = 4
 HELD_OUT = 2
@@ -20,8 +21,10 @@ ACCEPT = 0.7
 RANDOM_FEATURES = 256
 RIDGE = 1e-3
 SEED = 6
-#: Tasks that sum the normal equations; each sends one matrix of RANDOM_FEATURES squared.
+#: Tasks that sum the normal equations, or as many as a shuffle has if that is more; each sends one
+#: matrix of RANDOM_FEATURES squared, in chunks of so many numbers.
 TASKS = 32
+CHUNK = 1 << 13
 WINDOW_BYTES = 256
 WINDOW_WORDS = 32
 CALIBRATION_BINS = 4096
@@ -98,7 +101,11 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _summed(frame: DataFrame, part: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
-    """Sum of part(X, y) over all batches of frame(x, y): one array per task reaches the driver."""
+    """Sum of part(X, y) over all batches of frame(x, y).
+
+    Every task sends its sum in chunks; each chunk is added up over the tasks in their order, so the
+    driver receives one array, however many tasks there are, and a repeated task changes nothing.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -107,12 +114,33 @@ def _summed(frame: DataFrame, part: Callable[[np.ndarray, np.ndarray], np.ndarra
                 value = part(_matrix(batch.column(0)), np.asarray(batch.column(1))).ravel()
                 total = value if total is None else total + value
         if total is not None:
+            chunks = [total[k : k + CHUNK].tobytes() for k in range(0, len(total), CHUNK)]
+            task = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([total], pa.list_(pa.float64()))], names=["s"]
+                [
+                    pa.array(range(len(chunks)), pa.int32()),
+                    pa.array([task] * len(chunks), pa.int32()),
+                    pa.array(chunks, pa.binary()),
+                ],
+                names=["chunk", "task", "s"],
             )
 
-    rows = frame.select("x", "y").coalesce(TASKS).mapInArrow(run, "s array<double>").collect()
-    return np.sum([r["s"] for r in rows], axis=0) if rows else np.zeros(0)
+    def add(sums: pa.Table) -> pa.Table:
+        rows = sums.sort_by("task")
+        total = np.sum([np.frombuffer(s, np.float64) for s in rows["s"].to_pylist()], axis=0)
+        return pa.table({"chunk": rows["chunk"][:1], "s": pa.array([total.tobytes()], pa.binary())})
+
+    width = max(TASKS, shuffle_width(frame.sparkSession))
+    rows = (
+        frame.select("x", "y")
+        .coalesce(width)
+        .mapInArrow(run, "chunk int, task int, s binary")
+        .groupBy("chunk")
+        .applyInArrow(add, "chunk int, s binary")
+        .collect()  # one array in all
+    )
+    parts = [np.frombuffer(r["s"], np.float64) for r in sorted(rows, key=lambda r: r["chunk"])]
+    return np.concatenate(parts) if parts else np.zeros(0)
 
 
 @dataclass

@@ -126,3 +126,19 @@ def test_language_of_odd_rows(odd, empty, docs):
     assert language.languages(empty, language.learn(empty)).collect() == []
     nothing = docs([(1, "some text", None)])
     assert language.languages(nothing, language.learn(nothing)).first()["lang_pred"] == "und"
+
+
+def test_normal_equations_are_those_of_one_machine(spark):
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(500, quality.STATISTICS)), rng.integers(0, 2, 500).astype(float)
+    rows = [([float(v) for v in a], float(b)) for a, b in zip(x, y)]
+    frame = spark.createDataFrame(rows, "x array<double>, y double").repartition(7)
+
+    def equations(a, b):
+        wide = np.hstack([np.tile(a, 6), b[:, None]])
+        return wide.T @ wide
+
+    got = quality._summed(frame, equations)
+    assert len(got) > quality.CHUNK  # more than one chunk
+    np.testing.assert_allclose(got, equations(x, y).ravel(), rtol=1e-9, atol=1e-9)
+    assert len(quality._summed(frame.where("y > 5"), equations)) == 0
