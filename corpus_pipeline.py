@@ -1,4 +1,7 @@
-"""From raw documents to packed training sequences: each stage works on what the one before kept."""
+"""From raw documents to packed training sequences: each stage works on what the one before kept.
+
+Every stage first releases what the one before left in the driver.
+"""
 
 from __future__ import annotations
 
@@ -11,26 +14,31 @@ from auricle.llm.registry import tokenizer_path
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    release(spark)
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
+    release(spark)
     return simhash.one_per_group(docs, shingle=3, max_bits=2)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
+    release(spark)
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind."""
+    release(spark)
     return pii.redacted(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, placed in sequences."""
+    release(spark)
     return packing.digests(docs, tokenizer_path())
 
 
@@ -50,5 +58,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, apply in STAGES[:-1]:
         docs = stage(apply(spark, docs, sf_dir), name)
-        release(spark)  # what the stage left behind is not needed by the next
     return STAGES[-1][1](spark, docs, sf_dir)
