@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from auricle.session import rocksdb_state
+
 
 def write_epoch(df: DataFrame, path: str, epoch: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
@@ -51,18 +54,26 @@ def run(
     checkpoint: str,
     mode: str = "append",
     every: str | None = None,
+    rocksdb: bool = False,
 ) -> StreamingQuery:
     """Start a query that hands each micro-batch to `each`.
 
-    With `every` it polls at that interval; without, it works off what is there and stops.
+    With `every` it polls at that interval; without, it works off what is there and stops. `rocksdb`
+    is for streams that need that state store (`progress.running_progress`, `ordered`), in sessions
+    that were not built with it.
     """
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.foreachBatch(each).trigger(**trigger).start()
+    with rocksdb_state(stream.sparkSession) if rocksdb else nullcontext():
+        return writer.foreachBatch(each).trigger(**trigger).start()
 
 
 def run_to_end(
-    stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+    stream: DataFrame,
+    each: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    mode: str = "append",
+    rocksdb: bool = False,
 ) -> None:
     """Work off all available input; a failure of the query is raised."""
-    run(stream, each, checkpoint, mode).awaitTermination()
+    run(stream, each, checkpoint, mode, rocksdb=rocksdb).awaitTermination()

@@ -165,6 +165,7 @@ def _(t):
         counts,
         lambda batch, epoch: sinks.write_epoch(batch, f"{out}/rows", epoch),
         f"{out}/checkpoint",
+        rocksdb=True,
     )
     schema = "batch_id STRING, total BIGINT, processed BIGINT, complete BOOLEAN"
     return progress.newest_progress(sinks.read_epochs(t.spark, f"{out}/rows", schema))
@@ -279,6 +280,7 @@ def _(t):
         ordered.accepted_attempts(stream, last - first + timedelta(hours=1), timedelta(days=7)),
         lambda batch, epoch: sinks.write_epoch(batch, f"{out}/rows", epoch),
         f"{out}/checkpoint",
+        rocksdb=True,
     )
     return sinks.read_epochs(t.spark, f"{out}/rows", "filename STRING, seq BIGINT").select(
         "filename", "seq"
