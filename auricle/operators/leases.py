@@ -63,12 +63,14 @@ def _hours(rows: DataFrame) -> DataFrame:
         F.min("spot").alias("first"), F.min(holder).alias("own_holder"), F.max("at").alias("until")
     )
     order = Window.partitionBy("filename").orderBy("hour")
-    after = order.rowsBetween(1, Window.unboundedFollowing)
+    # a frame that grows from its start is kept up row by row, one that shrinks is read again each time
+    after = Window.partitionBy("filename").orderBy(F.desc("hour"))
+    after = after.rowsBetween(Window.unboundedPreceding, -1)
     gap = F.col("first.at") - F.lag("until").over(order)
     marked = sums.select(
         "*",
         F.lead("first").over(order).alias("next_first"),
-        F.first("own_holder", ignorenulls=True).over(after).alias("next_holder"),
+        F.last("own_holder", ignorenulls=True).over(after).alias("next_holder"),
         (gap.isNull() | (gap >= LEASE_MICROS)).alias("opens"),
     )
     return marked.withColumn("stretch", F.sum(F.col("opens").cast("int")).over(order))
@@ -76,10 +78,10 @@ def _hours(rows: DataFrame) -> DataFrame:
 
 def _holders(rows: DataFrame, hours: DataFrame) -> DataFrame:
     """The rows with the first holder at or after each; the end of the file stands for none."""
-    order = Window.partitionBy("filename", "hour").orderBy("spot")
-    ahead = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    back = Window.partitionBy("filename", "hour").orderBy(F.desc("spot"))
+    ahead = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     own = F.when(~F.coalesce("released", F.lit(False)), F.col("spot"))
-    here = rows.withColumn("holder", F.first(own, ignorenulls=True).over(ahead))
+    here = rows.withColumn("holder", F.last(own, ignorenulls=True).over(ahead))
     later = hours.select("filename", "hour", "next_holder")
     end = F.struct(F.lit(LAST).alias("at"), F.lit(LAST).alias("seq"))
     return here.join(later, ["filename", "hour"]).select(
@@ -104,12 +106,12 @@ def _next_holders(placed: DataFrame, hours: DataFrame) -> DataFrame:
         F.lit(None).cast(placed.schema["spot"].dataType).alias("asking"),
         "holder",
     )
-    order = Window.partitionBy("filename", "hour").orderBy("spot")
-    ahead = order.rowsBetween(1, Window.unboundedFollowing)
+    back = Window.partitionBy("filename", "hour").orderBy(F.desc("spot"))
+    ahead = back.rowsBetween(Window.unboundedPreceding, -1)
     found = F.when(F.col("asking").isNull(), F.struct(F.col("spot").alias("entry"), "holder"))
     met = (
         answers.unionByName(asks)
-        .withColumn("found", F.first(found, ignorenulls=True).over(ahead))
+        .withColumn("found", F.last(found, ignorenulls=True).over(ahead))
         .where("asking is not null")
     )
     # nothing left in that hour: the first attempt of the next hour that has any
