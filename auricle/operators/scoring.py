@@ -18,6 +18,8 @@ UNKNOWN_LANGUAGE = "unknown"
 LOGPROB_SCALE = 5.0
 # Segments of one file that are gathered in a first step.
 SEGMENT_BLOCK = 1024
+# Scored rows are sent on in frames of at least this many rows.
+SEND_ROWS = 256
 
 
 def confidence(mean_logprob: Column, has_segments: Column) -> Column:
@@ -103,7 +105,9 @@ def score_rows(
     names what it loads. The function takes the columns of `df` and returns one row of result
     columns per input row. A slice that fails, or gives more or fewer rows than it got, is tried row
     by row; a row that fails so keeps null results and its message in `error`. Rows with null in the column `needs` are not scored.
+    Scored rows are sent on after a few slices, so a task holds no more of them than that.
     """
+    send_rows = batch_rows * max(1, SEND_ROWS // batch_rows)
     results = T._parse_datatype_string(result_schema)
     names = [f.name for f in results.fields]
     output = T.StructType([*df.schema.fields, *results.fields, T.StructField("error", T.StringType())])
@@ -111,21 +115,30 @@ def score_rows(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _loaded(model_key, load)
         for pdf in frames:
-            done = []
-            if needs is not None:
-                idle = pdf[needs].isna()
-                if idle.any():
-                    done.append(_unscored(pdf[idle], names))
+            idle = None if needs is None else pdf[needs].isna()
+            if idle is not None and idle.any():
+                unscored = pdf[idle]
+                for start in range(0, len(unscored), send_rows):
+                    yield _unscored(unscored.iloc[start : start + send_rows], names)
+            if idle is not None:
                 pdf = pdf[~idle]
-            for start in range(0, len(pdf), batch_rows):
-                part = pdf.iloc[start : start + batch_rows].reset_index(drop=True)
-                done.append(_score_slice(model, part, names))
-            if done:
-                yield pd.concat(done, ignore_index=True)
+            for begin in range(0, len(pdf), send_rows):
+                yield pd.concat(
+                    [
+                        _score_slice(model, part.reset_index(drop=True), names)
+                        for part in _slices(pdf.iloc[begin : begin + send_rows], batch_rows)
+                    ],
+                    ignore_index=True,
+                )
 
     return df.mapInPandas(run, output)
 
 
+def _slices(pdf: pd.DataFrame, rows: int) -> Iterator[pd.DataFrame]:
+    for start in range(0, len(pdf), rows):
+        yield pdf.iloc[start : start + rows]
+
+
 def _loaded(key: str, load: Callable):
     """The loaded function of this worker process; it outlives a task."""
     store = sys.modules.setdefault("_auricle_models", types.ModuleType("_auricle_models"))

@@ -1,6 +1,7 @@
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from auricle.operators import scoring
 from auricle.plans import score
@@ -141,3 +142,21 @@ def test_payloads_lie_in_date_folders(spark, rows, tmp_path):
     df = rows("date STRING, key STRING, content BINARY", [("2025-01-02", "k", bytearray(b"x"))])
     score.write_payloads(df, f"{tmp_path}/p")
     assert spark.read.parquet(f"{tmp_path}/p/date=2025-01-02").first().key == "k"
+
+
+def test_scored_rows_are_sent_on_in_small_frames():
+    class Frame:
+        schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("need", T.LongType())])
+
+        def mapInPandas(self, run, schema):
+            return run
+
+    rows = pd.DataFrame({"id": range(10_000), "need": [None if k % 3 else k for k in range(10_000)]})
+    run = scoring.score_rows(
+        Frame(), lambda: lambda part: pd.DataFrame({"n": part["id"]}), "n BIGINT", "small frames", needs="need"
+    )
+    frames = list(run(iter([rows])))
+    assert max(map(len, frames)) <= scoring.SEND_ROWS
+    got = pd.concat(frames).sort_values("id")
+    assert got["id"].tolist() == list(range(10_000))
+    assert got["n"].dropna().tolist() == list(range(0, 10_000, 3))
