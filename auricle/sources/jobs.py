@@ -30,20 +30,20 @@ def write_messages(messages: DataFrame, path: str) -> None:
     messages.select("value").write.mode("append").text(path)
 
 
-def parse_jobs(messages: DataFrame, schema: str) -> DataFrame:
-    """`value`, the job fields, and `is_json`: is the message a JSON object?"""
+def parse_jobs(messages: DataFrame, schema: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """`value`, the columns to keep, the job fields, and `is_json`: is the message a JSON object?"""
     row = F.from_json(
         "value",
         f"{schema}, {_CORRUPT} STRING",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
     )
     return (
-        messages.select("value", row.alias("job"))
+        messages.select("value", *keep, row.alias("job"))
         .withColumn(
             "is_json",
             F.coalesce(F.col(f"job.{_CORRUPT}").isNull() & F.col("job").isNotNull(), F.lit(False)),
         )
-        .select("value", "is_json", "job.*")
+        .select("value", *keep, "is_json", "job.*")
         .drop(_CORRUPT)
     )
 
@@ -56,14 +56,17 @@ def unpack_jobs(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def transcribe_jobs(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(jobs, rejects): a job must be a JSON object with batch_id and opus_path."""
-    parsed = parse_jobs(messages, schemas.TRANSCRIBE_JOB)
+def transcribe_jobs(
+    messages: DataFrame, keep: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(jobs, rejects): a job must be a JSON object with batch_id and opus_path. Columns of the messages
+    to `keep` are in both."""
+    parsed = parse_jobs(messages, schemas.TRANSCRIBE_JOB, keep)
     whole = F.col("is_json") & F.col("batch_id").isNotNull() & F.col("opus_path").isNotNull()
     reason = F.when(F.col("is_json"), "missing field").otherwise("invalid JSON")
     return (
         parsed.filter(whole).drop("is_json", "value"),
-        parsed.filter(~whole).select("value", reason.alias("reason")),
+        parsed.filter(~whole).select(*keep, "value", reason.alias("reason")),
     )
 
 

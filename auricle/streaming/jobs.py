@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from auricle.sources import jobs as messages
-from auricle.streaming.sinks import write_epoch
+from auricle.streaming.sinks import write_batches, write_epoch
 
 
 def route_unpack(out: str) -> Callable[[DataFrame, int], None]:
@@ -36,6 +36,20 @@ def route_transcribe(out: str) -> Callable[[DataFrame, int], None]:
     return each
 
 
+def route_transcribe_batches(out: str) -> Callable[[DataFrame, int], None]:
+    """As `route_transcribe` for micro-batches of several batches (`batched.job_batches` with
+    `together`): the number of the batch takes the place of the epoch."""
+
+    def each(micro: DataFrame, epoch: int) -> None:
+        micro = micro.withColumnRenamed("batch", "epoch").persist()
+        good, rejected = messages.transcribe_jobs(micro, ("epoch",))
+        write_batches(good, f"{out}/jobs")
+        write_batches(rejected, f"{out}/rejected")
+        micro.unpersist()
+
+    return each
+
+
 def score_micro_batches(
     score: Callable[[DataFrame], DataFrame], out: str
 ) -> Callable[[DataFrame, int], None]:

@@ -16,6 +16,16 @@ def write_epoch(df: DataFrame, path: str, epoch: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
 
+def write_batches(df: DataFrame, path: str) -> None:
+    """Rows of several epochs, told apart by the column `epoch`; those epochs are overwritten."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("epoch")
+        .parquet(path)
+    )
+
+
 def drop(spark: SparkSession, *paths: str) -> None:
     """Removes folders that this library wrote and nothing reads any more."""
     for path in paths:

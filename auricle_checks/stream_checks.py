@@ -70,9 +70,10 @@ def _(t):
     one_line = F.translate("value", "\r\n", "  ").alias("value")
     jobs.write_messages(source_checks.messages(t).select(one_line), queue)
     stream = batched.job_batches(
-        t.spark, queue, batch_size=100, first_wait=1, next_wait=0.2, settle=0
+        t.spark, queue, batch_size=100, first_wait=1, next_wait=0.2, settle=0, together=200
     )
-    query = sinks.run(stream, job_streams.route_transcribe(out), f"{out}/checkpoint", every="0 seconds")
+    each = job_streams.route_transcribe_batches(out)
+    query = sinks.run(stream, each, f"{out}/checkpoint", every="0 seconds")
     try:
         query.processAllAvailable()
     finally:

@@ -139,3 +139,38 @@ def test_the_source_counts_what_the_router_accepts(spark, line, valid):
     if "\ud83d" not in line:
         good, _ = jobs.transcribe_jobs(spark.createDataFrame([(line,)], "value STRING"))
         assert (good.count() == 1) is valid
+
+
+def test_full_batches_that_wait_come_together(spark, tmp_path):
+    put(tmp_path / "in", "a", [job(0), "{broken", *[job(k) for k in range(1, 6)]])
+    put(tmp_path / "in", "b", [job(k) for k in range(6, 21)])
+    out, seen = str(tmp_path / "out"), []
+    route = job_streams.route_transcribe_batches(out)
+
+    def each(batch, epoch):
+        seen.append(epoch)
+        route(batch, epoch)
+        route(batch, epoch)  # as after a failure
+
+    drain(stream(spark, tmp_path / "in", together=3), each, tmp_path / "c")
+    good = sinks.read_epochs(spark, f"{out}/jobs", "opus_path STRING").collect()
+    assert sorted((r["epoch"], r["opus_path"]) for r in good) == sorted(
+        (k // 4, f"/{k}") for k in range(21)
+    )
+    rejected = sinks.read_epochs(spark, f"{out}/rejected", "value STRING").collect()
+    assert [(r["epoch"], r["value"]) for r in rejected] == [(0, "{broken")]
+    assert seen == [0, 1, 2]
+
+
+def test_a_batch_that_is_not_full_is_left_for_the_next_micro_batch(tmp_path):
+    put(tmp_path, "a", [job(k) for k in range(5)])
+    put(tmp_path, "b", [job(5)])
+    put(tmp_path, "c", [job(6)])
+    reader = batched.JobReader(options(tmp_path, batch_size="4", together="3"))
+    begin, first, second = reader.initialOffset(), reader.latestOffset(), reader.latestOffset()
+
+    def rows(start, end):
+        return [row for p in reader.partitions(start, end) for row in reader.read(p)]
+
+    assert rows(begin, first) == [(job(k), 0) for k in range(4)]
+    assert rows(first, second) == [(job(k), 1) for k in (4, 5, 6)]
