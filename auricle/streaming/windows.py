@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from auricle.operators.leases import LEASE_MICROS
+from auricle.streaming.ordered import judge
 from auricle.streaming.sinks import last_state, leave_state, write_epoch
 
 
@@ -90,12 +90,7 @@ def accepted_attempts(attempts: DataFrame, idle: timedelta | None = None) -> Dat
             return
         rows = pd.concat(list(frames)).sort_values(["at", "seq"])
         free_at = state.get[0] if state.exists else None
-        keep = []
-        for at, released in zip(rows["at"], rows["released"]):
-            accepted = free_at is None or at >= free_at
-            keep.append(accepted)
-            if accepted:
-                free_at = None if released else at + LEASE_MICROS
+        keep, free_at = judge(rows["at"].to_numpy(), rows["released"].to_numpy(bool), free_at)
         if free_at is None:
             if state.exists:
                 state.remove()
@@ -103,7 +98,7 @@ def accepted_attempts(attempts: DataFrame, idle: timedelta | None = None) -> Dat
             state.update((int(free_at),))
             if idle:
                 state.setTimeoutDuration(int(idle.total_seconds() * 1000))
-        yield rows[keep]
+        yield rows.iloc[keep]
 
     narrow = attempts.select(
         "filename",

@@ -229,22 +229,17 @@ def _lease_stream(t):
     first, last = attempts.agg(F.min("at"), F.max("at")).first()
     bounds = [first + (last - first) * k / 5 for k in range(5)] + [last + timedelta(seconds=1)]
     for begin, end in zip(bounds, bounds[1:]):
-        # one file after the other, since the source takes the oldest first
+        # the stream goes on from its checkpoint, with all files of one part as a micro-batch
         part = attempts.where((F.col("at") >= F.lit(begin)) & (F.col("at") < F.lit(end)))
-        part.coalesce(1).write.mode("append").parquet(f"{out}/attempts")
-        time.sleep(1.1)
-    stream = (
-        t.spark.readStream.schema(
+        part.write.mode("append").parquet(f"{out}/attempts")
+        stream = t.spark.readStream.schema(
             "filename STRING, seq BIGINT, at TIMESTAMP_NTZ, released BOOLEAN"
+        ).parquet(f"{out}/attempts")
+        sinks.run_to_end(
+            windows.accepted_attempts(stream),
+            lambda batch, epoch: sinks.write_epoch(batch, f"{out}/rows", epoch),
+            f"{out}/checkpoint",
         )
-        .option("maxFilesPerTrigger", 1)
-        .parquet(f"{out}/attempts")
-    )
-    sinks.run_to_end(
-        windows.accepted_attempts(stream),
-        lambda batch, epoch: sinks.write_epoch(batch, f"{out}/rows", epoch),
-        f"{out}/checkpoint",
-    )
     return sinks.read_epochs(t.spark, f"{out}/rows", "filename STRING, seq BIGINT, at TIMESTAMP_NTZ")
 
 
