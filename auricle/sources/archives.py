@@ -221,9 +221,9 @@ def find_members(files: DataFrame) -> DataFrame:
             yield (path, *[None] * 8, f"{type(error).__name__}: {error}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path in batch.column(0).to_pylist():
-                yield from _emit(of_archive(path), _FOUND)
+        # archives may be small and many, so one frame holds the members of several
+        paths = (path for batch in batches for path in batch.column(0).to_pylist())
+        yield from _emit((row for path in paths for row in of_archive(path)), _FOUND)
 
     width = 4 * files.sparkSession.sparkContext.defaultParallelism
     return files.select("path").repartition(max(1, width)).mapInArrow(run, _FOUND)

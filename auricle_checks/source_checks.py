@@ -363,7 +363,8 @@ def _(t):
         F.concat(F.lit("metadata/"), "stem", F.lit(".txt")).alias("key"),
         F.col("n_chars").alias("length"),
     )
-    return transfer.bundled_members(audio, stems, listing).select("path", "member_path")
+    bundled = transfer.bundled_members(audio, stems, listing)
+    return bundled.select(_key("path").alias("path"), "member_path")
 
 
 @check(
