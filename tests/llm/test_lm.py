@@ -112,3 +112,18 @@ def test_base_scores_and_counts(docs, monkeypatch):
 def test_odd_rows_and_empty_table(odd, empty):
     assert ids(scored(odd)) == ODD_IDS
     assert scored(empty).collect() == []
+
+
+def test_contexts_are_counted_in_every_training_document(spark, monkeypatch):
+    """More documents than the sample holds, equal ones included."""
+    monkeypatch.setattr(lm, "SAMPLE_DOCS", 1)
+    met = {}
+    plain = attention.vocabulary
+    monkeypatch.setattr(
+        attention, "vocabulary", lambda counts, contexts: met.update(n=contexts.sum()) or plain(counts, contexts)
+    )
+    docs = spark.createDataFrame([(f"one two {k % 7}",) for k in range(50)] + [(None,)], "text STRING")
+    ranks, pattern = tokenizer_path(RANKS), tokenizer_pattern()
+    counts = lm.word_counts(docs)
+    lm.fit(docs, counts, ranks, pattern)
+    assert met["n"] == lm.id_counts(counts, ranks, pattern).sum()
