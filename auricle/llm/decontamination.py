@@ -1,9 +1,9 @@
 """Benchmark leaks by latent semantic retrieval: randomised SVD of TF-IDF passages, cosine search and
 counts of an item's words for candidates, then longest common subsequences and answer checks.
 
-Words are kept as 16-bit hashes. The latent space is fitted on a bounded sample of corpus passages
-together with the benchmark's own; document frequencies count every document, and every passage of
-every document is searched. The benchmark is the stated query set; it is taken in blocks.
+Words are kept as 16-bit hashes. The latent space is fitted on every passage of the corpus, by way of
+their random sums, together with the benchmark's own; document frequencies count every document, and
+every passage of every document is searched. The benchmark is the stated query set; it is taken in blocks.
 """
 
 from __future__ import annotations
@@ -18,13 +18,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auricle.llm.common import lean, release, stage
+from auricle.llm.common import lean, release, slices, stage
 
 FEATURES = 1 << 13
 RANK, OVERSAMPLE, POWERS = 192, 16, 2
-#: Corpus documents in the sample that the space is fitted on, and the tasks that sum over them.
-SAMPLE_DOCS = 2000
+#: Random sums that the space is fitted on, each of about as many passages, and the tasks that read them.
+SUMS = 2048
 TASKS = 3
+#: Bytes of word hashes whose passages one task adds up, the words in a step of it, and the sums of a frame.
+SUMMED_BYTES = 64 << 20
+SUMMED_AT_ONCE = 1 << 20
+SENT_AT_ONCE = 64
 #: Passages are two blocks long and start at every block.
 BLOCK = 16
 QUERY_WORDS = 48
@@ -67,14 +71,17 @@ def _ids(cell: pa.Scalar) -> np.ndarray:
     return np.frombuffer(cell.as_buffer(), dtype="<u2")
 
 
-def inverse_frequency(words: DataFrame) -> np.ndarray:
+def inverse_frequency(words: DataFrame, documents: int) -> np.ndarray:
     """log((1 + N) / (1 + documents with the feature)) + 1 for each feature, over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(FEATURES, dtype=np.int64)
+        held = np.zeros(FEATURES, dtype=bool)
         for batch in batches:
             for cell in batch.column(0):
-                total[np.unique(_ids(cell) % FEATURES)] += 1
+                held[_ids(cell) % FEATURES] = True
+                total += held
+                held[:] = False
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen, pa.int32()), pa.array(total[seen])], names=["feature", "n"]
@@ -89,7 +96,7 @@ def inverse_frequency(words: DataFrame) -> np.ndarray:
     )
     seen = np.zeros(FEATURES)
     seen[counted["feature"].to_numpy()] = counted["n"].to_numpy()
-    return np.log((1 + words.count()) / (1 + seen)) + 1
+    return np.log((1 + documents) / (1 + seen)) + 1
 
 
 def _gram(passages: list[np.ndarray], weight: np.ndarray, basis: np.ndarray) -> np.ndarray:
@@ -110,9 +117,69 @@ def _gram(passages: list[np.ndarray], weight: np.ndarray, basis: np.ndarray) ->
     return out
 
 
-def _cut(ids: np.ndarray) -> list[np.ndarray]:
+def _places(doc_id: int | None, cell: pa.Scalar, count: int) -> np.ndarray:
+    """64 random bits for each of a document's passages, the same in every run."""
+    seed = crc32(cell.as_buffer(), crc32(str(doc_id).encode()))
+    mixed = (np.arange(count, dtype=np.uint64) << np.uint64(32)) + np.uint64(seed)
+    for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        mixed ^= mixed >> np.uint64(31)
+        mixed *= np.uint64(factor)
+    return mixed ^ mixed >> np.uint64(29)
+
+
+def _add_passages(total: np.ndarray, rows: list[tuple], weight: np.ndarray) -> None:
+    """Adds each passage of rows(doc_id, words) to its row of total, or takes it away."""
     size = 2 * BLOCK
-    return [ids[k : k + size] for k in range(0, len(ids), size)]
+    held = [(doc_id, cell, _ids(cell)) for doc_id, cell in rows]
+    held = [row for row in held if len(row[2])]
+    if not held:
+        return
+    counts = [-(-len(ids) // size) for _, _, ids in held]
+    lengths = np.full(sum(counts), size)
+    lengths[np.cumsum(counts) - 1] = [len(ids) - (n - 1) * size for (_, _, ids), n in zip(held, counts)]
+    flat = np.concatenate([ids for _, _, ids in held]).astype(np.int64) % FEATURES
+    value = weight[flat]
+    norm = np.sqrt(np.add.reduceat(value**2, np.cumsum(lengths) - lengths))
+    place = np.concatenate([_places(doc_id, cell, n) for (doc_id, cell, _), n in zip(held, counts)])
+    signed = np.where(place >> np.uint64(63), -1, 1) / norm
+    row = (place % np.uint64(SUMS)).astype(np.int64) * FEATURES
+    np.add.at(total, np.repeat(row, lengths) + flat, value * np.repeat(signed, lengths).astype("f4"))
+
+
+def random_sums(words: DataFrame, weight: np.ndarray, tasks: int) -> DataFrame:
+    """(row, sums binary), written: SUMS random sums of the TF-IDF rows A of all passages of words.
+
+    A passage is added to or taken from one sum (Clarkson and Woodruff), so for the sums S the
+    expected SᵀS is AᵀA; no passage is left out. A task sends at most SUMS rows.
+    """
+    weight32 = weight.astype(np.float32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SUMS * FEATURES, dtype=np.float32)
+        for batch in batches:
+            cells = list(zip(batch.column(0).to_pylist(), batch.column(1)))
+            sizes = [len(cell.as_buffer()) // 2 for _, cell in cells]
+            for begin, end in slices(sizes, SUMMED_AT_ONCE):
+                _add_passages(total, cells[begin:end], weight32)
+        total = total.reshape(SUMS, FEATURES)
+        used = np.flatnonzero(total.any(axis=1))
+        for begin in range(0, len(used), SENT_AT_ONCE):
+            rows = used[begin : begin + SENT_AT_ONCE]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.int32()), pa.array([total[k].tobytes() for k in rows], pa.binary())],
+                names=["row", "sums"],
+            )
+
+    def add(parts: pa.Table) -> pa.Table:
+        total = np.zeros(FEATURES)
+        for cell in parts["sums"]:
+            total += np.frombuffer(cell.as_buffer(), dtype="<f4")
+        sums = pa.array([total.astype("<f4").tobytes()], pa.binary())
+        return pa.table({"row": parts["row"].slice(0, 1), "sums": sums})
+
+    kinds = "row int, sums binary"
+    parts = words.select("doc_id", "words").coalesce(tasks).mapInArrow(lean(run), kinds)
+    return stage(parts.groupBy("row").applyInArrow(add, kinds), "sums")
 
 
 @dataclass
@@ -123,44 +190,41 @@ class Space:
     weight: np.ndarray
 
 
-def fit(sample: DataFrame, queries: list[np.ndarray], weight: np.ndarray, seed: int = 5) -> Space:
-    """Randomised SVD of the sample's passages and the queries, both sides counting alike.
+def fit(
+    sums: DataFrame, passages: int, queries: list[np.ndarray], weight: np.ndarray, seed: int = 5
+) -> Space:
+    """Randomised SVD of all passages, given as random sums, and the queries, both sides counting alike.
 
-    Each power step sums AᵀA·Q over the sample's partitions; the driver holds FEATURES x rank
-    numbers. Columns are ordered by singular value and cut at RANK.
+    Each power step adds up AᵀA·Q in tasks; the driver holds FEATURES x rank numbers. Columns are
+    ordered by singular value and cut at RANK.
     """
     rank = RANK + OVERSAMPLE
     own = [q.astype(np.int64) % FEATURES for q in queries]
     basis = np.random.default_rng(seed).normal(size=(FEATURES, rank)).astype(np.float32)
     weight32 = weight.astype(np.float32)
-    spark = sample.sparkSession
+    spark = sums.sparkSession
 
     def product(basis: np.ndarray) -> np.ndarray:
         sent = spark.sparkContext.broadcast(basis)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total, count = np.zeros_like(sent.value), 0
+            total = np.zeros_like(sent.value)
             for batch in batches:
-                passages = [
-                    p for cell in batch.column(0) for p in _cut(_ids(cell).astype(np.int64) % FEATURES)
-                ]
-                count += len(passages)
-                if passages:
-                    total += _gram(passages, weight32, sent.value)
-            if count:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([count]), pa.array([total.tobytes()], pa.binary())], names=["n", "s"]
-                )
+                for begin in range(0, batch.num_rows, SENT_AT_ONCE):
+                    cells = batch.column(0).slice(begin, SENT_AT_ONCE)
+                    part = np.stack([np.frombuffer(cell.as_buffer(), dtype="<f4") for cell in cells])
+                    total += part.T @ (part @ sent.value)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
 
-        rows = sample.select("words").coalesce(TASKS).mapInArrow(run, "n long, s binary").collect()
+        rows = sums.select("sums").coalesce(TASKS).mapInArrow(run, "s binary").collect()
         sent.destroy()
-        total, count = np.zeros_like(basis), sum(r["n"] for r in rows)
+        total = np.zeros_like(basis)
         for row in rows:
             total += np.frombuffer(row["s"], dtype=basis.dtype).reshape(basis.shape)
         del rows
         release(spark)  # a few copies of these arrays are left in the JVM by every product
-        if count:
-            total *= len(own) / count
+        if passages:
+            total *= len(own) / passages
         return total + _gram(own, weight32, basis)
 
     for _ in range(POWERS):
@@ -217,12 +281,15 @@ class Search:
         self.holders = np.repeat(np.arange(len(items)), self.sizes)[np.argsort(words, kind="stable")]
         self.first = np.searchsorted(np.sort(words), np.arange((1 << 16) + 1))
 
-    def present(self, ids: np.ndarray) -> list[int]:
-        """Items that the document holds enough words of, in any order, to be leaked anywhere."""
+    def shares(self, ids: np.ndarray) -> np.ndarray:
+        """The share of each item's words that the document holds, in any order."""
         seen = np.unique(ids).astype(np.int64)
         begin, count = self.first[seen], self.first[seen + 1] - self.first[seen]
         at = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
-        share = np.bincount(self.holders[at], minlength=len(self.items)) / self.sizes
+        return np.bincount(self.holders[at], minlength=len(self.items)) / self.sizes
+
+    def present(self, ids: np.ndarray, share: np.ndarray) -> list[int]:
+        """Items that the document holds enough words of to be leaked anywhere."""
         return [
             k
             for k in np.flatnonzero(share >= SIMILAR).tolist()
@@ -282,8 +349,13 @@ class Search:
         so passages that hold enough of an item's words are candidates at any cosine.
         """
         best: dict[int, tuple[float, float, bool]] = {}
-        found: dict[tuple[int, int], float | None] = dict(self.candidates(ids))
-        for item in self.present(ids):
+        present = self.shares(ids)
+        # a passage has no more of an item's words than its document
+        enough = (present >= SIMILAR).tolist()
+        found: dict[tuple[int, int], float | None] = {
+            key: cosine for key, cosine in self.candidates(ids).items() if enough[key[0]]
+        }
+        for item in self.present(ids, present):
             for row in self.passages(ids, item).tolist():
                 found.setdefault((item, row), None)
         for (item, row), cosine in found.items():
@@ -321,11 +393,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     words = encoded(docs)
-    weight = inverse_frequency(words)
-    total = words.count()
-    hashed = F.pmod(F.xxhash64("words"), F.lit(1 << 40))
-    limit = int((1 << 40) * min(1.0, SAMPLE_DOCS / max(1, total)))
-    sample = stage(words.where(hashed < limit).dropDuplicates(["words"]), "sample")
+    size = F.octet_length("words")
+    total = words.agg(
+        F.count("*").alias("documents"),
+        F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(F.ceil(size / F.lit(4 * BLOCK))), F.lit(0)).alias("passages"),
+    ).first()
+    weight = inverse_frequency(words, total["documents"])
+    sums = random_sums(words, weight, 1 + total["bytes"] // SUMMED_BYTES)
     count = benchmark.count()
     blocks = max(1, -(-count // QUERIES_AT_ONCE))
     items = benchmark.select(
@@ -340,7 +415,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         if not known:
             continue
         queries = [q for _, ids in known for q in split_query(ids)]
-        sent = spark.sparkContext.broadcast((fit(sample, queries, weight), known))
+        sent = spark.sparkContext.broadcast((fit(sums, total["passages"], queries, weight), known))
         release(spark)
 
         def run(

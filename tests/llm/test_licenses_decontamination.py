@@ -187,3 +187,30 @@ def test_leaks_of_the_test_table_as_brute_force(spark):
     got = {(r["doc_id"], r["item_id"]) for r in QUERIES["op5_decontamination"](spark, SF).collect()}
     wanted = {k for k, _, _ in rows}
     assert {pair for pair in got if pair[0] in wanted} == brute_force(rows, items)
+
+
+def test_space_is_fitted_on_every_passage(docs):
+    """No document is left out of the sums, however many there are; their squares estimate AᵀA."""
+    rng = random.Random(8)
+    common = [f"c{k}" for k in range(40)]
+    rows = [(k, " ".join([f"own{k}", *rng.choices(common, k=rng.randint(0, 70))]), "en") for k in range(2600)]
+    words = decontamination.encoded(docs([*rows, (9000, "", "en"), (9001, None, "en"), (None, rows[0][1], "en")]))
+    weight = decontamination.inverse_frequency(words, len(rows) + 3)
+    want = np.zeros((decontamination.FEATURES, decontamination.FEATURES), dtype=np.float32)
+    for _, text, _ in [*rows, rows[0]]:
+        ids = decontamination.word_ids(text).astype(np.int64) % decontamination.FEATURES
+        for k in range(0, len(ids), 32):
+            part = ids[k : k + 32]
+            value = weight[part] / np.sqrt((weight[part] ** 2).sum())
+            np.add.at(want, (part[:, None], part[None, :]), np.outer(value, value))
+    for tasks in (1, 3):
+        found = decontamination.random_sums(words.repartition(5), weight, tasks).collect()
+        sums = np.stack([np.frombuffer(r["sums"], dtype="<f4") for r in found])
+        assert len({r["row"] for r in found}) == len(found) <= decontamination.SUMS
+        assert set(np.flatnonzero(sums.any(axis=0))) == set(np.flatnonzero(want.diagonal()))
+        square = sums.T @ sums
+        assert abs(np.trace(square) / np.trace(want) - 1) < 0.05
+        top = np.argsort(-want.diagonal())[:40]
+        got, exact = square[np.ix_(top, top)], want[np.ix_(top, top)]
+        assert np.linalg.norm(got - exact) < 0.15 * np.linalg.norm(exact)
+    assert decontamination.random_sums(words.limit(0), weight, 1).count() == 0
