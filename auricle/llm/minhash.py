@@ -19,6 +19,7 @@ from auricle.llm.common import (
     release,
     remove,
     shuffle_width,
+    slices,
     stage,
     write_staged,
 )
@@ -31,6 +32,8 @@ ROWS_AT_ONCE = 500
 #: Bands of so many permutations; texts of similarity 0.8 share one with probability 1 - 5e-8.
 ROWS = 4
 SIMILAR = 0.8
+#: Shingles in one frame.
+SHINGLES_AT_ONCE = 1 << 18
 #: Buckets up to this size are compared pair by pair.
 PAIRED = 64
 #: Ids of candidate texts that are sent to the tasks at once.
@@ -249,6 +252,117 @@ def _across(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def _mixed(members: DataFrame) -> DataFrame:
+    """members(bucket, node, root) of buckets with several roots, and the bucket's least node and its root."""
+    several = (
+        members.groupBy("bucket")
+        .agg(
+            F.min(F.struct("node", "root")).alias("first"),
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
+        )
+        .where("low <> high")
+        .select("bucket", F.col("first.node").alias("least"), F.col("first.root").alias("head"))
+    )
+    return members.select("bucket", "node", "root").join(several, "bucket")
+
+
+def _linkable(nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(node, size, held) of nodes(node) that may reach the similarity with another of them.
+
+    size: the node's shingles; held: those that another node has as well. No text is more alike than
+    held / size, so one with many shingles of its own is alike to none.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = [np.frombuffer(cell.as_buffer(), "<i4") for cell in batch.column(1)]
+            for begin, end in slices(map(len, cells), SHINGLES_AT_ONCE):
+                part = cells[begin:end]
+                node = np.repeat(batch.column(0)[begin:end].to_numpy(), [len(c) for c in part])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node, pa.int64()), pa.array(np.concatenate(part), pa.int32())],
+                    names=["node", "shingle"],
+                )
+
+    known = sets.withColumnRenamed("doc_id", "node").join(nodes, "node", "left_semi")
+    sizes = known.select("node", F.expr("octet_length(shingles) div 4").alias("size"))
+    shared = (
+        known.select("node", "shingles")
+        .mapInArrow(run, "node long, shingle int")
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"), F.min("node").alias("node"))
+        .where("n = 1")
+        .groupBy("node")
+        .agg(F.count("*").alias("own"))
+    )
+    held = F.col("size") - F.coalesce("own", F.lit(0))
+    return (
+        sizes.where("size > 0")
+        .join(shared, "node", "left")
+        .select("node", "size", held.alias("held"))
+        .where(F.try_divide(F.col("held"), F.col("size")) >= threshold)
+    )
+
+
+def _crowded_links(
+    crowded: DataFrame, sets: DataFrame, threshold: float
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """What connects nodes of large buckets, crowded(bucket, node, root): the links found on the way,
+    and the pairs (a, b) that are left to compare, with the paths of staged tables.
+
+    Buckets of one root need no look. Nodes that can be alike to no other are dropped, the rest is
+    compared with the least node of its bucket, and both again as long as that leaves half of the rows
+    at most, so the rounds together are in proportion to the nodes. What is connected by none of it is
+    compared where two buckets agree.
+    """
+    spark = crowded.sparkSession
+    paths: list[str] = []
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        frame, path = write_staged(df, name)
+        paths.append(path)
+        return frame
+
+    live = written(_mixed(crowded), "crowded")
+    left = live.count()
+    none = spark.createDataFrame([], "a long, b long")
+    links, able = none, None
+    while left:
+        before = left
+        able = written(_linkable(live.select("node").distinct(), sets, threshold), "able")
+        live = written(_mixed(live.join(able.select("node"), "node", "left_semi")), "crowded")
+        stars = live.where("root <> head").select(
+            F.col("least").alias("a"), F.col("node").alias("b"), "head", "root"
+        )
+        found = written(_verified(stars.select("a", "b").distinct(), sets, threshold).select("a", "b"), "links")
+        links = links.union(found)
+        met = found.join(stars, ["a", "b"]).select(F.col("head").alias("a"), F.col("root").alias("b"))
+        known = written(components(met).select(F.col("node").alias("old"), F.col("root").alias("new")), "roots")
+        moved = live.withColumnRenamed("root", "old").join(known, "old", "left")
+        live = written(_mixed(moved.withColumn("root", F.coalesce("new", "old"))), "crowded")
+        left = live.count()
+        release(spark)
+        if 2 * left > before:
+            break
+    if not left:
+        return links, none, paths
+    live = live.join(able, "node")
+    ours = live.select("bucket", "node", "root", "size", "held", (F.col("root") != F.col("head")).alias("odd"))
+    # two nodes left here share no small bucket and no bucket of one root
+    both = ours.join(live.select("node", F.col("bucket").alias("other")), "node").where("other > bucket")
+    second = written(both.withColumn("bucket", F.xxhash64("bucket", "other")), "second")
+    x, y = second.where("odd").alias("x"), second.alias("y")
+    most = F.least("x.held", "y.held")
+    rest = (
+        x.join(y, F.col("x.bucket") == F.col("y.bucket"))
+        .where(F.col("x.root") != F.col("y.root"))
+        .where(F.try_divide(most, F.col("x.size") + F.col("y.size") - most) >= threshold)
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    )
+    return links, rest, paths
+
+
 def _wanted_sets(docs: DataFrame, wanted: DataFrame) -> list[tuple[DataFrame, str]]:
     """The shingle sets of the texts of wanted(doc_id), staged. The ids travel to the texts, in
     blocks of about WANTED_AT_ONCE, so the texts are read where they are and never shuffled."""
@@ -273,8 +387,7 @@ def classes(prints: DataFrame, docs: DataFrame, threshold: float = SIMILAR) -> D
     similarity are linked, and class_id is the smallest doc_id reachable. Equal fingerprints are one
     node. Each node of a bucket is compared with the least one, which connects those alike in one
     pass; only nodes that are not connected by then are compared further, in buckets of up to PAIRED
-    nodes pair by pair, in larger ones those not connected with the least one with the nodes of other
-    components that share a second band with them, so no connection is lost. Fingerprints whose rows
+    nodes pair by pair, in larger ones as _crowded_links does, so no connection is lost. Fingerprints whose rows
     all have a null id are left out. Staged tables are deleted once read.
     """
     spark = prints.sparkSession
@@ -311,27 +424,16 @@ def classes(prints: DataFrame, docs: DataFrame, threshold: float = SIMILAR) -> D
     )
     remove(spark, [met_path, known_path])
     few, many = members.where(F.col("size") <= PAIRED), members.where(F.col("size") > PAIRED)
-    heads = many.where("node = least").select("bucket", F.col("root").alias("head"))
-    apart = many.join(heads, "bucket").where("root <> head").select("bucket", "node")
-    second = (
-        many.select("bucket", "node", "root")
-        .join(apart.select("bucket").distinct(), "bucket", "left_semi")
-        .join(apart.withColumn("odd", F.lit(True)), ["bucket", "node"], "left")
-        .join(banded, "node")
-        .select("bucket", "node", "root", "odd", F.explode("bands").alias("other"))
-        .where("other <> bucket")
-        .withColumn("bucket", F.xxhash64("bucket", "other"))
-    )
-    rest, rest_path = write_staged(
-        _across(few, few).union(_across(second.where("odd"), second)).distinct(), "pairs"
-    )
+    with arrow_rows(spark, ROWS_AT_ONCE):
+        extra, left, paths = _crowded_links(many, sets, threshold)
+    rest, rest_path = write_staged(_across(few, few).union(left).distinct(), "pairs")
     remove(spark, [members_path])
     with arrow_rows(spark, ROWS_AT_ONCE):
         last, last_path = write_staged(_verified(rest, sets, threshold).select("a", "b"), "links")
     remove(spark, [rest_path, *(path for _, path in parts)])
     release(spark)
-    roots = components(starred.union(last))
-    remove(spark, [starred_path, last_path])
+    roots = components(starred.union(extra).union(last))
+    remove(spark, [starred_path, last_path, *paths])
     return nodes.join(roots, "node", "left").select(
         "fingerprint", F.coalesce("root", "node").alias("class_id")
     )

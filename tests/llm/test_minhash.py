@@ -135,3 +135,40 @@ def test_classes_with_ids_sent_in_blocks(docs, monkeypatch):
     rows = [(k, " ".join(f"w{k // 2}x{j}" for j in range(60)) + " end" * (k % 2), None) for k in range(24)]
     got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs(rows)).collect()}
     assert got == {k: k - k % 2 for k in range(24)}
+
+
+def test_large_group_of_texts_alike_in_bands_only(docs, monkeypatch):
+    """Variants of one text, most of them under the similarity: none is compared in pairs for that,
+    and the few that are alike are found."""
+    rng = random.Random(6)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(240):
+        text = list(base)
+        for at in rng.sample(range(200), 10):
+            text[at] = f"own{k}x{at}"
+        rows.append((2 * k, " ".join(text), None))
+        if k % 40 == 7:
+            rows.append((2 * k + 1, " ".join([*text[:-1], "end"]), None))
+    root = {k: k for k, _, _ in rows}
+    sets = [(k, shingles(t)) for k, t, _ in rows]
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[i + 1 :]:
+            if len(x & y) / len(x | y) >= 0.8:
+                p, q = find(a), find(b)
+                root[max(p, q)] = min(p, q)
+    compared = []
+    verified = minhash._verified
+    monkeypatch.setattr(
+        minhash, "_verified", lambda pairs, *more: compared.append(pairs.count()) or verified(pairs, *more)
+    )
+    monkeypatch.setattr(minhash, "PAIRED", 8)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs(rows)).collect()}
+    assert got == {k: find(k) for k in root} and len(set(got.values())) < len(rows)
+    assert sum(compared) < 20 * len(rows)
