@@ -14,10 +14,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from auricle.llm.common import per_worker
+from auricle.llm.common import per_worker, slices
 
 #: Chunks that are encoded as one text.
 TOGETHER = 2000
+#: Chunks whose ids are put together at a time.
+GATHERED = 1 << 17
 #: A blank between two characters that are not white space starts a new pre-token of the byte-level
 #: BPE pattern, so a text may be cut there and its parts encoded apart. U+180E was white space in
 #: old Unicode versions, so no cut is made beside it.
@@ -108,11 +110,16 @@ class _Texts:
         """Ids of texts as bytes; text k has the chunks from bounds[k] to bounds[k + 1]."""
         coded = chunks.dictionary_encode()
         ids, at = self._distinct(coded.dictionary)
-        which = coded.indices.to_numpy()
-        made, ends = _gather(ids, at[which], np.diff(at)[which], bounds)
-        raw = made.tobytes()
-        ends = (4 * ends).tolist()
-        return [raw[a:b] for a, b in zip(ends, ends[1:])]
+        which, size = coded.indices.to_numpy(), np.diff(at)
+        out: list[bytes] = []
+        # what puts ids together takes many times their room, so it has some of the texts at a time
+        for low, high in slices(np.diff(bounds).tolist(), GATHERED):
+            part = which[bounds[low] : bounds[high]]
+            made, ends = _gather(ids, at[part], size[part], bounds[low : high + 1] - bounds[low])
+            raw = made.tobytes()
+            ends = (4 * ends).tolist()
+            out += [raw[a:b] for a, b in zip(ends, ends[1:])]
+        return out
 
     def encode_all(self, texts: pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, as bytes. A null text has none."""

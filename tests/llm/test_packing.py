@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from auricle.llm import packing
+from auricle.llm import packing, subwords
 from auricle.llm.registry import tokenizer_path
 from auricle.llm.subwords import Chunked, Spaced
 from tests.llm.conftest import ODD
@@ -136,3 +136,13 @@ def test_large_ids_beside_a_null_id_and_columns_of_any_name(docs, spark):
     assert {r["doc_id"] for r in rows} == set(big)
     assert sorted(r["offset"] for r in rows) == [0, 4, 8]
     assert all(r["salt"] == r["size"] == r["row"] == "x" for r in rows)
+
+
+def test_ids_are_put_together_for_some_texts_at_a_time(whole, monkeypatch):
+    texts = [f"first{k} " + "and more words, " * (k % 5) + f"end{k}" for k in range(60)] + ["one " * 90 + "x"]
+    put, sizes = subwords._gather, []
+    monkeypatch.setattr(subwords, "GATHERED", 40)
+    monkeypatch.setattr(subwords, "_gather", lambda *a: sizes.append(len(a[3]) - 1) or put(*a))
+    made = Chunked(tokenizer_path()).encode_all(pa.array(texts))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in made] == [whole(t) for t in texts]
+    assert len(sizes) > 5 and sum(sizes[1:]) == len(texts) and max(sizes[1:]) <= 40
