@@ -76,6 +76,27 @@ def test_tables_score_as_the_model_does_and_windows_are_causal(model):
     assert np.allclose(scorer.texts([text, changed]), [each.sum(), other.sum()])
 
 
+def test_large_logits_are_bounded_and_others_need_no_bound(model):
+    scorer, weights, vocab = model
+    assert not scorer.tall
+    text = np.random.default_rng(5).integers(0, 6000, 100)
+    bounded = attention.Scorer(weights, vocab)
+    bounded.tall = True
+    assert np.array_equal(bounded.texts([text]), scorer.texts([text]))
+    steep = attention.Weights(*[p * 1000 if p is weights.second else p for p in weights.arrays()])
+    large = attention.Scorer(steep, vocab)
+    assert large.tall and np.isfinite(large.texts([text])).all()
+
+
+def test_padding_has_no_weight(model):
+    scorer, _, vocab = model
+    text = np.arange(3)
+    inputs, targets, _ = attention.layout([text], vocab)
+    assert (scorer.seen[attention.PAD, attention.WIDTH :] == 0).all()
+    alone = scorer.tokens(inputs, targets)
+    assert np.allclose(alone.sum(), scorer.texts([text])[0]) and (alone[targets < 0] == 0).all()
+
+
 def test_training_lowers_the_loss():
     kinds = np.tile(np.arange(16) % 4, (200, 1))
     inputs = np.concatenate([kinds, kinds], axis=1) + 2
