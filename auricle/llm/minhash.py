@@ -10,7 +10,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auricle.llm.common import (
@@ -36,6 +36,8 @@ SIMILAR = 0.8
 SHINGLES_AT_ONCE = 1 << 18
 #: Buckets up to this size are compared pair by pair.
 PAIRED = 64
+#: Longs of an odd sketch.
+SKETCH = 16
 #: Ids of candidate texts that are sent to the tasks at once.
 WANTED_AT_ONCE = 1 << 20
 
@@ -127,13 +129,35 @@ def _batch(rows: list[tuple], width: int) -> pa.RecordBatch:
     )
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of (doc_id, tie, text) compressed one by one, with their size; a null one is empty."""
+    codec = pa.Codec("zstd", compression_level=1)
+    for batch in batches:
+        cells = [t.as_buffer() or b"" for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                *batch.columns[:2],
+                pa.array(map(len, cells), pa.int64()),
+                pa.array([codec.compress(c, asbytes=True) if len(c) else b"" for c in cells], pa.binary()),
+            ],
+            names=["doc_id", "tie", "size", "packed"],
+        )
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int | None, str]]:
+    """(doc_id, text) of a batch of what _packed made."""
+    codec = pa.Codec("zstd")
+    for doc_id, size, cell in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+        text = codec.decompress(cell.as_buffer(), size, asbytes=True) if size else b""
+        yield doc_id, text.decode("utf-8")
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compares each row of a sorted partition with the next; the partition's two ends come last."""
     first = before = None
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            text = text or ""
+        for doc_id, text in _texts(batch):
             own = signature(text)
             if before is None:
                 first = (doc_id, text)
@@ -162,18 +186,21 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     is followed by the first, a single row by itself. Null texts are empty; the fingerprint of a text
     without words has all bits set. Extra columns are ignored; an empty table gives no rows.
 
-    Texts are dealt into ranges of ids and sorted there, once. Every task compares neighbours as they
+    Texts are compressed, dealt into ranges of ids and sorted there, once. Every task compares neighbours as they
     stream by, and hands on its first and last row; those meet in a join of one row for each task.
     """
     spark = docs.sparkSession
     narrow = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.col("text").cast("string")).alias("tie"),
+        F.col("text").cast("string").alias("text"),
     )
-    order = [F.desc_nulls_last("doc_id"), F.xxhash64("text")]
-    ranged = narrow.repartitionByRange(shuffle_width(spark), *order).sortWithinPartitions(*order)
+    order = [F.desc_nulls_last("doc_id"), "tie"]
+    packed = narrow.mapInArrow(_packed, "doc_id long, tie long, size long, packed binary")
+    ranged = packed.repartitionByRange(shuffle_width(spark), *order).sortWithinPartitions(*order)
     with arrow_rows(spark, ROWS_AT_ONCE):
         found = stage(ranged.mapInArrow(_neighbours, KINDS + _EDGE), "fingerprints")
-    del ranged
+    del packed, ranged
     release(spark)  # the shuffled texts are not needed again
     edges = found.where("part is not null")
     parts = sorted(r["part"] for r in edges.select("part").collect())  # one for each task at most
@@ -188,21 +215,57 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, shingles): the sorted different shingle hashes of each text, 32 bits each."""
+    """(doc_id, shingles, odd): the sorted different shingle hashes of each text, 32 bits each, and
+    their odd sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                np.unique(shingle_hashes(t.as_py() or "")).astype("<u4").tobytes()
-                for t in batch.column(1)
-            ]
+            sets = [np.unique(shingle_hashes(t.as_py() or "")).astype("<u4") for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(rows, pa.binary())], names=["doc_id", "shingles"]
+                [
+                    batch.column(0),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([odd_sketch(s) for s in sets], pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "shingles", "odd"],
             )
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, shingles binary"
+        run, "doc_id long, shingles binary, odd array<long>"
+    )
+
+
+def odd_sketch(hashes: np.ndarray) -> np.ndarray:
+    """SKETCH longs, a bit of which is set if an odd number of the different hashes falls on it.
+
+    A hash that only one of two sets has flips one bit, so the sketches differ in as many bits at most
+    as the sets do in hashes.
+    """
+    bits = np.bincount(hashes % np.uint32(64 * SKETCH), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def _may_reach(threshold: float) -> Column:
+    """Can x and y, as of _sketched, have the similarity? No pair that has it is left out.
+
+    Sets of s shingles together, d of them in one set only, have the similarity (s - d) / (s + d). The
+    little that is added keeps pairs at the threshold, however its quotient is rounded.
+    """
+    apart = reduce(
+        Column.__add__,
+        (F.bit_count(F.col(f"x.odd{k}").bitwiseXOR(F.col(f"y.odd{k}"))) for k in range(SKETCH)),
     )
+    return apart <= (F.col("x.size") + F.col("y.size")) * ((1 - threshold) / (1 + threshold)) + 0.001
+
+
+def _sketched(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """members(node, …) with the size of its set and the longs of its odd sketch."""
+    known = sets.select(
+        F.col("doc_id").alias("node"),
+        F.expr("octet_length(shingles) div 4").alias("size"),
+        *(F.col("odd")[k].alias(f"odd{k}") for k in range(SKETCH)),
+    )
+    return members.join(known, "node")
 
 
 def jaccard(left: bytes, right: bytes) -> float:
@@ -241,14 +304,15 @@ def _buckets(members: DataFrame) -> DataFrame:
     return members.join(sizes, "bucket").select("bucket", "node", "size", "least")
 
 
-def _across(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, b): nodes of left and right(bucket, node, root) in one bucket, of different roots."""
-    ours = left.select("bucket", F.col("node").alias("x"), F.col("root").alias("rx"))
-    theirs = right.select("bucket", F.col("node").alias("y"), F.col("root").alias("ry"))
+def _across(members: DataFrame, threshold: float) -> DataFrame:
+    """(a, b), a < b: nodes of sketched members(bucket, node, root) in one bucket, of different roots,
+    whose sketches allow the similarity."""
+    x, y = members.alias("x"), members.alias("y")
     return (
-        ours.join(theirs, "bucket")
-        .where("rx <> ry")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        x.join(y, F.col("x.bucket") == F.col("y.bucket"))
+        .where((F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")))
+        .where(_may_reach(threshold))
+        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     )
 
 
@@ -347,17 +411,18 @@ def _crowded_links(
             break
     if not left:
         return links, none, paths
-    live = live.join(able, "node")
-    ours = live.select("bucket", "node", "root", "size", "held", (F.col("root") != F.col("head")).alias("odd"))
+    live = _sketched(live.join(able.select("node", "held"), "node"), sets)
+    ours = live.withColumn("other_root", F.col("root") != F.col("head")).drop("least", "head")
     # two nodes left here share no small bucket and no bucket of one root
     both = ours.join(live.select("node", F.col("bucket").alias("other")), "node").where("other > bucket")
-    second = written(both.withColumn("bucket", F.xxhash64("bucket", "other")), "second")
-    x, y = second.where("odd").alias("x"), second.alias("y")
+    second = written(both.withColumn("bucket", F.xxhash64("bucket", "other")).drop("other"), "second")
+    x, y = second.where("other_root").alias("x"), second.alias("y")
     most = F.least("x.held", "y.held")
     rest = (
         x.join(y, F.col("x.bucket") == F.col("y.bucket"))
         .where(F.col("x.root") != F.col("y.root"))
         .where(F.try_divide(most, F.col("x.size") + F.col("y.size") - most) >= threshold)
+        .where(_may_reach(threshold))
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     )
     return links, rest, paths
@@ -373,7 +438,8 @@ def _wanted_sets(docs: DataFrame, wanted: DataFrame) -> list[tuple[DataFrame, st
         write_staged(
             _sets(narrow.join(F.broadcast(wanted.where(block == k)), "doc_id", "left_semi"))
             .groupBy("doc_id")
-            .agg(F.min("shingles").alias("shingles")),
+            .agg(F.min(F.struct("shingles", "odd")).alias("set"))
+            .select("doc_id", "set.*"),
             "sets",
         )
         for k in range(blocks)
@@ -387,7 +453,8 @@ def classes(prints: DataFrame, docs: DataFrame, threshold: float = SIMILAR) -> D
     similarity are linked, and class_id is the smallest doc_id reachable. Equal fingerprints are one
     node. Each node of a bucket is compared with the least one, which connects those alike in one
     pass; only nodes that are not connected by then are compared further, in buckets of up to PAIRED
-    nodes pair by pair, in larger ones as _crowded_links does, so no connection is lost. Fingerprints whose rows
+    nodes pair by pair, in larger ones as _crowded_links does, so no connection is lost. Pairs whose odd
+    sketches rule the similarity out are not compared. Fingerprints whose rows
     all have a null id are left out. Staged tables are deleted once read.
     """
     spark = prints.sparkSession
@@ -426,7 +493,8 @@ def classes(prints: DataFrame, docs: DataFrame, threshold: float = SIMILAR) -> D
     few, many = members.where(F.col("size") <= PAIRED), members.where(F.col("size") > PAIRED)
     with arrow_rows(spark, ROWS_AT_ONCE):
         extra, left, paths = _crowded_links(many, sets, threshold)
-    rest, rest_path = write_staged(_across(few, few).union(left).distinct(), "pairs")
+    near = _across(_sketched(_mixed(few), sets), threshold)
+    rest, rest_path = write_staged(near.union(left).distinct(), "pairs")
     remove(spark, [members_path])
     with arrow_rows(spark, ROWS_AT_ONCE):
         last, last_path = write_staged(_verified(rest, sets, threshold).select("a", "b"), "links")

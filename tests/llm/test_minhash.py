@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from auricle.llm import minhash
 from auricle.llm.registry import QUERIES
@@ -172,3 +173,60 @@ def test_large_group_of_texts_alike_in_bands_only(docs, monkeypatch):
     got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs(rows)).collect()}
     assert got == {k: find(k) for k in root} and len(set(got.values())) < len(rows)
     assert sum(compared) < 20 * len(rows)
+
+
+def test_near_copies_below_the_similarity_are_ruled_out_by_sketches(docs, monkeypatch):
+    """Texts that share most of their shingles with each other, but not enough: nearly no pair is compared."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for k in range(160):
+        text = list(base)
+        for at in (rng.randrange(5, 70), rng.randrange(80, 145)):
+            text[at] = f"own{k}x{at}"
+        rows.append((k, " ".join(text), None))
+    root = {k: k for k, _, _ in rows}
+    sets = [(k, shingles(t)) for k, t, _ in rows]
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[i + 1 :]:
+            if len(x & y) / len(x | y) >= 0.8:
+                p, q = find(a), find(b)
+                root[max(p, q)] = min(p, q)
+    verified = minhash._verified
+    for paired in (1000, 8):
+        compared = []
+        monkeypatch.setattr(
+            minhash, "_verified", lambda pairs, *more: compared.append(pairs.count()) or verified(pairs, *more)
+        )
+        monkeypatch.setattr(minhash, "PAIRED", paired)
+        got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs(rows)).collect()}
+        assert got == {k: find(k) for k in root}
+        assert compared[-1] < 5 * len(rows)
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_hashes():
+    rng = np.random.default_rng(2)
+    for size in (0, 1, 40, 3000):
+        a = np.unique(rng.integers(0, 1 << 32, size, dtype=np.uint32))
+        b = np.unique(np.concatenate([a[: size // 2], rng.integers(0, 1 << 32, size // 3, dtype=np.uint32)]))
+        x, y = minhash.odd_sketch(a), minhash.odd_sketch(b)
+        bits = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+        assert len(x) == minhash.SKETCH and bits <= len(np.setxor1d(a, b))
+        assert (minhash.odd_sketch(a) == x).all()
+
+
+def test_texts_travel_compressed():
+    texts = ["", "a b", None, "ä日\U0001f600 " * 50, "one and the other " * 400]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(5), pa.int64()), pa.array([7] * 5, pa.int64()), pa.array(texts, pa.string())],
+        names=["doc_id", "tie", "text"],
+    )
+    (sent,) = minhash._packed(iter([batch]))
+    assert sum(len(c.as_py()) for c in sent.column(3)) < sum(len((t or "").encode()) for t in texts) / 10
+    assert list(minhash._texts(sent)) == [(k, t or "") for k, t in enumerate(texts)]
