@@ -148,3 +148,44 @@ def test_contexts_are_counted_in_every_training_document(spark, monkeypatch):
     counts = lm.word_counts(docs)
     lm.fit(docs, counts, ranks, pattern)
     assert met["n"] == lm.id_counts(counts, ranks, pattern).sum()
+
+
+def test_weights_learn_from_every_window_of_every_training_document(spark, monkeypatch):
+    """Far more documents and windows than the sample holds."""
+    monkeypatch.setattr(lm, "SAMPLE_DOCS", 1)
+    monkeypatch.setattr(lm, "WINDOWS_PER_TASK", 1)
+    monkeypatch.setattr(lm, "ROUNDS", 3)
+    met = {}
+    plain = attention.Scorer
+    monkeypatch.setattr(attention, "Scorer", lambda w, vocab: met.update(w=w, vocab=vocab) or plain(w, vocab))
+    texts = [" ".join(str(100 * k + i) for i in range(100)) for k in range(40)]
+    docs = spark.createDataFrame([(t,) for t in [*texts, "", None]], "text STRING").repartition(5)
+    ranks, pattern = tokenizer_path(RANKS), tokenizer_pattern()
+    lm.fit(docs, lm.word_counts(docs), ranks, pattern)
+    encode = lm.subwords(ranks, pattern).ids
+    seen = np.unique(np.concatenate([np.frombuffer(encode(w), "<u2") for t in texts for w in words(t)[:-2]]))
+    changed = (met["w"].emb != attention.initial(met["vocab"].rows).emb).any(axis=1)
+    assert len(seen) > 500 and changed[met["vocab"].row[seen]].all()
+
+
+def test_one_pass_takes_every_window_once(monkeypatch):
+    rng = np.random.default_rng(2)
+    taken = []
+    monkeypatch.setattr(attention, "POOL", 300)
+    monkeypatch.setattr(
+        attention.Learner, "step", lambda self, inputs, kinds, rate: taken.extend(zip(inputs[:, 0], kinds[:, 0]))
+    )
+    windows, begin = [], 0
+    for n in rng.integers(1, 250, 12).tolist():
+        own = np.arange(begin, begin + n)[:, None].repeat(2 * attention.STRIDE, axis=1)
+        windows.append((own, -own[:, : attention.STRIDE]))
+        begin += n
+    _, total = attention.train_once(attention.initial(4), iter(windows), 1e-3)
+    assert total == begin and sorted(taken) == [(k, -k) for k in range(begin)]
+    assert attention.train_once(attention.initial(4), iter([]), 1e-3)[1] == 0
+
+
+def test_weights_are_averaged_by_their_windows():
+    parts = [([np.full((2, 2), v, dtype=np.float32), np.array([v])], n) for v, n in [(1.0, 1), (4.0, 2)]]
+    arrays, n = attention.averaged(parts)
+    assert n == 3 and np.allclose(arrays[0], 3) and np.allclose(arrays[1], 3)
