@@ -88,3 +88,46 @@ def test_judging_goes_on_over_slots(seed):
         found += (keep + begin).tolist()
         begin = end
     assert found == plain
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_many_files_are_judged_as_each_alone(seed):
+    draw = random.Random(seed)
+    rows = sorted(
+        (draw.randrange(5), draw.randrange(-20, 20) * leases.LEASE_MICROS // 4, i)
+        for i in range(draw.randrange(1, 200))
+    )
+    files, at, released = np.array([(f, a, draw.random() < 0.4) for f, a, _ in rows]).T
+    released = released.astype(bool)
+    free = [draw.choice([None, draw.randrange(-5, 5) * leases.LEASE_MICROS]) for _ in range(6)]
+    none = np.iinfo(np.int64).min
+    keep, after = ordered.judge_files(files, at, released, np.array([none if f is None else f for f in free]))
+    found = []
+    for file in range(6):
+        own = np.flatnonzero(files == file)
+        mine, until = ordered.judge(at[own], released[own], free[file])
+        found += own[mine].tolist()
+        if len(own[mine]):
+            assert after[file] == (none if until is None else until)
+        else:
+            assert after[file] == (none if free[file] is None else free[file])
+    assert keep.tolist() == found
+
+
+def test_files_share_the_state_of_their_group(spark, tmp_path, monkeypatch):
+    """Steps over the state follow the groups and slots, not the files."""
+    monkeypatch.setattr(ordered, "GROUPS", 3, raising=False)
+    draw = random.Random(6)
+    attempts = [
+        (f"f{draw.randrange(200)}", i, START + timedelta(seconds=draw.randrange(4 * 3600)), draw.random() < 0.3)
+        for i in range(1000)
+    ]
+    attempts += [("f1", 1000, START, None), ("é\x00,", 1001, START, False), ("", 1002, START, False)]
+    batches = [attempts[i::2] for i in range(2)]
+    delay, slot = timedelta(hours=5), timedelta(days=1)
+    got, _ = run(ordered.accepted_attempts(stream_of(spark, f"{tmp_path}/in", batches), delay, slot), tmp_path)
+    assert got.count() == 0 and held(spark, tmp_path, "held") <= 2 * 3
+    stream = stream_of(spark, f"{tmp_path}/in", [[(None, None, START + timedelta(days=3), None)]])
+    got, _ = run(ordered.accepted_attempts(stream, delay, slot), tmp_path)
+    assert values(got, "filename", "seq") == accepted([(*a[:3], bool(a[3])) for a in attempts])
+    assert held(spark, tmp_path, "held") == 0 and held(spark, tmp_path, "free_at") == 0
