@@ -262,18 +262,23 @@ def _(t):
         "released",
     )
     part = F.pmod(F.xxhash64("seq"), F.lit(3))
+    files = t.spark.sparkContext.defaultParallelism  # of a part, which is a micro-batch
     for rows in [*(attempts.where(part == k) for k in range(3)), after]:
-        # the stream goes on from its checkpoint, with all files of one part as a micro-batch
-        rows.write.mode("append").parquet(f"{out}/attempts")
-        stream = t.spark.readStream.schema(
+        rows.repartition(files).write.mode("append").parquet(f"{out}/attempts")
+        time.sleep(1.1)  # files are taken up in order of their time
+    stream = (
+        t.spark.readStream.schema(
             "filename STRING, seq BIGINT, at TIMESTAMP_NTZ, released BOOLEAN"
-        ).parquet(f"{out}/attempts")
-        sinks.run_to_end(
-            ordered.accepted_attempts(stream, last - first + timedelta(hours=1), timedelta(days=7)),
-            lambda batch, epoch: sinks.write_epoch(batch, f"{out}/rows", epoch),
-            f"{out}/checkpoint",
-            rocksdb=True,
         )
+        .option("maxFilesPerTrigger", files)
+        .parquet(f"{out}/attempts")
+    )
+    sinks.run_to_end(
+        ordered.accepted_attempts(stream, last - first + timedelta(hours=1), timedelta(days=7)),
+        lambda batch, epoch: sinks.write_epoch(batch, f"{out}/rows", epoch),
+        f"{out}/checkpoint",
+        rocksdb=True,
+    )
     return sinks.read_epochs(t.spark, f"{out}/rows", "filename STRING, seq BIGINT").select(
         "filename", "seq"
     )
